@@ -14,9 +14,12 @@ source columns are ignored. More than max_queues sources share queues by hash.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -40,7 +43,7 @@ class Encoder:
     encoded once and kept. Texts with characters beyond Latin-1 or a special token's string go to the
     tokenizer whole."""
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 350_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -48,10 +51,14 @@ class Encoder:
         if self.tokenizer.get_vocab_size() > 65536:
             raise ValueError("16-bit ids are too small for this vocabulary")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.keep, self.known = keep, {}
+        self.keep, self.known, self.before = keep, {}, {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        found = [array("H", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for x in found:
+                x.byteswap()
+        return [x.tobytes() for x in found]
 
     def batch(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
@@ -75,16 +82,24 @@ class Encoder:
         return out
 
     def _join(self, step, out) -> None:
-        known = self.known
-        new = list({w for _, ws in step for w in ws if w not in known})
-        if len(known) + len(new) > self.keep:
-            known.clear()
-            new = list({w for _, ws in step for w in ws})
+        words = set().union(*[ws for _, ws in step])
+        known, before = self.known, self.before
+        if len(known) > self.keep:  # two generations: what is still in use moves on
+            self.known, self.before = known, before = {}, known
+        new = [w for w in words if w not in known]
+        known.update((w, before[w]) for w in new if w in before)
+        new = [w for w in new if w not in known]
         known.update(zip(new, self.whole(new)))
         for i, ws in step:
             out[i] = b"".join(map(known.__getitem__, ws))
 
 
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path)
+
+
 def tokenized(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, source_col: str, max_queues: int, end_id: int) -> DataFrame:
     """A row for each document: its queue, its ids and its place in its task's part of the queue."""
     queues = docs.select(source_col).distinct().limit(max_queues + 1).count()
@@ -98,10 +113,10 @@ def tokenized(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, sour
     def encode(batches):
         from pyspark import TaskContext
 
-        encoder, part, at = Encoder(vocabulary), TaskContext.get().partitionId(), {}
+        encode_with, part, at = encoder(vocabulary), TaskContext.get().partitionId(), {}
         end = np.asarray([end_id], "<u2").tobytes()
         for pdf in batches:
-            ids = [x + end for x in encoder.batch(pdf["text"].tolist())]
+            ids = [x + end for x in encode_with.batch(pdf["text"].tolist())]
             n = np.fromiter((len(x) // 2 for x in ids), np.int64, len(ids))
             start = np.zeros(len(ids), np.int64)
             for q, where in pdf.groupby("queue").indices.items():
