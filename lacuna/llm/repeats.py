@@ -106,17 +106,46 @@ def repeated_windows(contexts: list[tuple[int, bytes, int]], length: int) -> lis
     n = np.maximum(0, last - first + 1)
     owner = np.repeat(np.arange(len(contexts)), n)
     start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[owner]
-    key = np.stack([classes[begin[owner] + start], group[owner], start - anchor[owner]])
-    order = np.lexsort(key)
-    key = key[:, order]
-    same = (key[:, 1:] == key[:, :-1]).all(0)
-    twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    kind = classes[begin[owner] + start]
+    often = np.flatnonzero((np.bincount(kind) > 1)[kind]) if len(kind) else np.zeros(0, np.int64)
+    # equal windows of one group at one place from the anchor: class and group number below 2**26, place below 2**11
+    key = (kind[often] << 37 | group[owner[often]] << 11 | (start - anchor[owner])[often] + length) if len(often) else often
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
     found = np.zeros(len(owner), bool)
-    found[order] = twice
+    if len(often):
+        found[often[order]] = np.concatenate([[False], same]) | np.concatenate([same, [False]])
     edges = np.concatenate([[0], np.cumsum(n)])
     return [start[a:b][found[a:b]] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
+def trimmed(contexts: list[bytes], at: list[int], length: int, step: int = 42) -> list[tuple[int, bytes]]:
+    """(anchor's place, bytes) of a group's contexts without the ends that none of the others shares; no bytes where no window is left."""
+    sides: list[list[int]] = [[], []]
+    for side in (0, 1):
+        seen: list[list] = []
+        known: dict[tuple, int] = {}
+        for c, a in zip(contexts, at):
+            keys = []
+            for k in range(step, length - GRAM + step, step):
+                if k > (a if side == 0 else len(c) - a - GRAM):
+                    break
+                keys.append((k, c[a - k : a] if side == 0 else c[a + GRAM : a + GRAM + k]))
+                known[keys[-1]] = known.get(keys[-1], 0) + 1
+            seen.append(keys)
+        for keys, c, a in zip(seen, contexts, at):
+            shared = 0
+            for key in keys:
+                if known[key] < 2:
+                    break
+                shared = key[0]
+            sides[side].append(min(shared + step, a if side == 0 else len(c) - a - GRAM))
+    out = []
+    for c, a, left, right in zip(contexts, at, *sides):
+        out.append((left, c[a - left : a + GRAM + right]) if left + GRAM + right >= length else (0, b""))
+    return out
+
+
 SPANS = "array<struct<lo:int,hi:int>>"
 
 
@@ -130,11 +159,13 @@ def _shards(contexts: DataFrame, length: int, shard_bytes: int) -> DataFrame:
             if len(g) < 2:
                 continue
             group += 1
-            held += [(group, b, at, a, c) for b, at, a, c in zip(g["bytes"].tolist(), g["at"].tolist(), g["ahash"].tolist(), g["chash"].tolist())]
-            size += sum(map(len, g["bytes"]))
+            for (at, b), a, c in zip(trimmed(g["bytes"].tolist(), g["at"].tolist(), length), g["ahash"].tolist(), g["chash"].tolist()):
+                if b:
+                    held.append((group, b, at, a, c))
+                    size += len(b)
             if size >= shard_bytes:
                 yield done(held)
-                held, size = [], 0
+                held, size, group = [], 0, 0
         if held:
             yield done(held)
 
@@ -187,10 +218,10 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
     return sure.union(again).groupBy("ahash", "chash").agg(F.collect_list("span").alias("spans"))
 
 
-def repeated_spans(texts: DataFrame, length: int = 400, most: int = 1500, shard_bytes: int = 1 << 21, small_rows: int = 500_000) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = 400, most: int = 1500, shard_bytes: int = 1 << 21, small_rows: int = 20_000) -> DataFrame:
     """Of texts (k1, k2, text), where (k1, k2) tells texts apart: (k1, k2, spans) of those with repeats."""
-    if length < GRAM:
-        raise ValueError(f"length must be {GRAM} or more")
+    if not GRAM <= length <= 1000:
+        raise ValueError(f"length must be from {GRAM} to 1000")
 
     def mark(batches):
         for pdf in batches:
@@ -254,7 +285,7 @@ def repeated_spans(texts: DataFrame, length: int = 400, most: int = 1500, shard_
     return hits.groupBy("k1", "k2").agg(F.collect_set("s").alias("spans"))
 
 
-def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, small_rows: int = 500_000, **more) -> DataFrame:
+def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, small_rows: int = 20_000, **more) -> DataFrame:
     """doc_id, n_bytes, kept (bytes without repeats), spans (removed, of bytes) of all docs."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))

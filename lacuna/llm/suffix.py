@@ -80,17 +80,24 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
     return sa
 
 
+def _by_rank(order: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """order, sorted stably by rank, 16 bits at a time."""
+    order = order[np.argsort((rank[order] & 0xFFFF).astype(np.uint16), kind="stable")]
+    return order[np.argsort((rank[order] >> 16).astype(np.uint16), kind="stable")] if len(order) > 0xFFFF else order
+
+
 def _rank_names(names: np.ndarray) -> np.ndarray:
     """The order of the reduced string's suffixes. Its alphabet has no small bound, so that buckets don't pay: ranks of
     pieces of twice the length are made from those of two halves until all differ."""
     n, rank, width = len(names), names.astype(np.int64), 1
+    order = _by_rank(np.arange(n), rank)
     while True:
-        second = np.zeros(n, np.int64)
-        second[: max(0, n - width)] = rank[width:] + 1
-        key = rank * (n + 2) + second
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
+        # by the second half first: what has none, then the rest as their second halves are ordered
+        order = _by_rank(np.concatenate([np.arange(max(0, n - width), n), order[order >= width] - width]), rank)
+        second = np.full(n, -1, np.int64)
+        second[: max(0, n - width)] = rank[width:]
+        first, second = rank[order], second[order]
+        new = np.concatenate([[0], np.cumsum((first[1:] != first[:-1]) | (second[1:] != second[:-1]))])
         rank = np.empty(n, np.int64)
         rank[order] = new
         width *= 2
@@ -131,66 +138,41 @@ def suffix_array(data: bytes | np.ndarray) -> np.ndarray:
     return _induce(t, small, order)
 
 
-def permuted_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
-    """PLCP, cut at `most`: for each position the common prefix with the suffix before it in the order.
+def permuted_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
+    """PLCP: for each position the common prefix with the suffix before it in the order.
 
-    Where the bytes to the left agree with those of the predecessor, a value is one less than its left neighbour's at
-    least and exactly, so that only the other (irreducible) values are compared byte by byte."""
+    Where the bytes to the left agree with those of the predecessor, a value is one less than its left
+    neighbour's, so that only the other (irreducible) values are compared: eight bytes at a time, then one by one."""
     n = len(t)
+    i = np.arange(n)
     phi = np.full(n, -1, np.int64)
     phi[sa[1:]] = sa[:-1]
-    i = np.arange(n)
     reducible = np.zeros(n, bool)
-    ok = (i > 0) & (phi > 0)
-    reducible[ok] = (t[i[ok] - 1] == t[phi[ok] - 1]) & (phi[i[ok] - 1] == phi[ok] - 1)
-    out = np.zeros(n, np.int64)
-    live = np.flatnonzero(~reducible & (phi >= 0))
-    wide = np.zeros(n + 16, np.uint8)
-    wide[:n] = t
-    words = np.ndarray((n + 9,), "<u8", wide, strides=(1,))
-    full = live
-    while len(full):
-        j = out[full]
-        room = np.minimum(n - full - j, n - phi[full] - j)
-        go = (room >= 8) & (j < most)
-        go[go] = words[(full + j)[go]] == words[(phi[full] + j)[go]]
-        out[full[go]] += 8
-        full = full[go]
-    while len(live):
-        j = out[live]
-        go = (j < most) & (live + j < n) & (phi[live] + j < n)
-        live, j = live[go], j[go]
-        go = t[live + j] == t[phi[live] + j]
-        live = live[go]
-        out[live] += 1
-    # a reducible value follows from the last irreducible one, which is cut: where that cut shows, compare on
-    start = np.maximum.accumulate(np.where(reducible, -1, i))
-    value = out[start] - (i - start)
-    cut = reducible & (out[start] >= most)
-    out = np.where(reducible, np.maximum(value, 0), np.minimum(out, most))
-    redo = np.flatnonzero(cut)
-    if len(redo):
-        out[redo] = _compared(t, words, redo, phi[redo], most)
-    return out
-
-
-def _compared(t, words, a, b, most):
-    n, size = len(t), np.zeros(len(a), np.int64)
+    reducible[1:] = (phi[1:] > 0) & (t[:-1] == t[phi[1:] - 1]) & (phi[:-1] == phi[1:] - 1)
+    a = np.flatnonzero(~reducible & (phi >= 0))
+    b, size = phi[a], np.zeros(len(a), np.int64)
+    room = n - np.maximum(a, b)
+    padded = np.zeros(n + 8, np.uint8)
+    padded[:n] = t
+    words = np.ndarray((n + 1,), "<u8", padded, strides=(1,))
     live = np.arange(len(a))
     while len(live):
         j = size[live]
-        go = (j + 8 <= most) & (a[live] + j + 8 <= n) & (b[live] + j + 8 <= n)
+        go = j + 8 <= room[live]
         live, j = live[go], j[go]
         live = live[words[a[live] + j] == words[b[live] + j]]
         size[live] += 8
     live = np.arange(len(a))
     while len(live):
         j = size[live]
-        go = (j < most) & (a[live] + j < n) & (b[live] + j < n)
+        go = j < room[live]
         live, j = live[go], j[go]
         live = live[t[a[live] + j] == t[b[live] + j]]
         size[live] += 1
-    return size
+    out = np.zeros(n, np.int64)
+    out[a] = size
+    start = np.maximum.accumulate(np.where(reducible, -1, i))
+    return out[start] - (i - start)
 
 
 def repeat_classes(data: bytes, length: int) -> np.ndarray:
@@ -199,7 +181,7 @@ def repeat_classes(data: bytes, length: int) -> np.ndarray:
     if not len(t):
         return np.zeros(0, np.int64)
     sa = suffix_array(t)
-    plcp = permuted_prefixes(t, sa, length)
+    plcp = permuted_prefixes(t, sa)
     out = np.empty(len(t), np.int64)
     out[sa] = np.cumsum(plcp[sa] < length)
     return out
