@@ -49,7 +49,7 @@ class Shingler:
         except KeyError:
             if len(known) > self.keep:
                 known.clear()
-            known.update((w, xxhash.xxh3_64_intdigest(w)) for w in {*words} - known.keys())
+            known.update([(w, xxhash.xxh3_64_intdigest(w)) for w in {*words} if w not in known])
             h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         if not len(h):
             return h
@@ -67,10 +67,10 @@ def band_hashes(shingles: np.ndarray, bands: int, rows: int) -> np.ndarray:
     a = (mix(np.arange(1, bands * rows + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     x = (shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
     least = np.full(bands * rows, 0xFFFFFFFF, np.uint32)
-    for k in range(0, len(x), 2048):
-        y = x[k : k + 2048, None] * a
+    for k in range(0, len(x), 512):
+        y = a[:, None] * x[None, k : k + 512]
         y ^= y >> np.uint32(15)
-        np.minimum(least, y.min(0), out=least)
+        np.minimum(least, y.min(1), out=least)
     out = np.arange(1, bands + 1, dtype=np.uint64) * MIX
     for col in least.reshape(bands, rows).T:
         out = mix(out ^ col.astype(np.uint64)) + MIX
