@@ -40,7 +40,7 @@ class Features:
         words = {*words_of(text)}
         if len(self.known) > self.keep:
             self.known.clear()
-        self.known.update((w, feature(w)) for w in words - self.known.keys())
+        self.known.update([(w, feature(w)) for w in words if w not in self.known])
         return np.unique(np.fromiter(map(self.known.__getitem__, words), np.int32, len(words)))
 
 
