@@ -197,12 +197,13 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
 
     found = written(contexts.mapInPandas(blocks, "ahash long, chash long, j int, x int, y int, whole long, core long"), "blocks")
     twice = lambda df, *keys: df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    whole = twice(found, "ahash", "x", "y", "whole").withColumn("all", F.lit(True))
+    whole = found.groupBy("ahash", "x", "y", "whole").agg(F.count("*").alias("n"), F.min("chash").alias("head")).where("n > 1").drop("n")
     core = twice(found, "ahash", "j", "core").withColumn("some", F.lit(True))
     state = found.join(whole, ["ahash", "x", "y", "whole"], "left").join(core, ["ahash", "j", "core"], "left")
-    state = written(state.select("ahash", "chash", "x", "y", "all", "some"), "block-states")
-    sure = state.where("all").select("ahash", "chash", F.struct(F.col("x").alias("lo"), (F.col("y") + length).alias("hi")).alias("span"))
-    open_ = state.where("all is null and some").groupBy("ahash", "chash").agg(F.collect_list(F.struct("x", "y")).alias("open"))
+    state = written(state.select("ahash", "chash", "x", "y", "head", "some"), "block-states")
+    sure = state.where("head is not null").select("ahash", "chash", F.struct(F.col("x").alias("lo"), (F.col("y") + length).alias("hi")).alias("span"))
+    # one of each kind of equal blocks stands for the others: a window of an open block may be one of theirs
+    open_ = state.where("some and (head is null or head = chash)").groupBy("ahash", "chash").agg(F.collect_list(F.struct("x", "y")).alias("open"))
     rest = contexts.join(open_, ["ahash", "chash"])
 
     def single(batches):
