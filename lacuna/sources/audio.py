@@ -69,7 +69,7 @@ def feature_table(files: DataFrame) -> DataFrame:
                 try:
                     rows.append({"name": path.rsplit("/", 1)[-1], **{k: round(v, 6) for k, v in clip_features(*decode(content)).items()}, "error": None})
                 except Exception as x:  # one bad file must not stop the rest
-                    rows.append({"name": path.rsplit("/", 1)[-1], **dict.fromkeys(names), "error": str(x)[:200]})
+                    rows.append({"name": path.rsplit("/", 1)[-1], **dict.fromkeys(names), "error": repr(x)[:200]})
             yield pd.DataFrame(rows, columns=["name", *names, "error"]).astype(dict.fromkeys(names, float))
 
     return files.select("path", "content").mapInPandas(measure, "name string, " + ", ".join(f"{k} double" for k in names) + ", error string")
