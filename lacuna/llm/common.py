@@ -33,8 +33,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of whole texts are kept small, unless the session has a size of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default
+        spark.conf.set(key, str(rows))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    small_batches(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = "file://" + os.path.join(tempfile.gettempdir(), "lacuna-shared")
@@ -62,6 +70,7 @@ def filesystem(url: str):
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -37,7 +37,7 @@ def bands_for(threshold: float, recall: float, rows: int) -> int:
 class Shingler:
     """Sets of 64-bit hashes of the n-grams of words."""
 
-    def __init__(self, n: int, keep: int = 1_000_000):
+    def __init__(self, n: int, keep: int = 150_000):
         self.n, self.keep, self.known = n, keep, {}
         self.odd = mix(np.arange(1, n + 1, dtype=np.uint64) * MIX) | np.uint64(1)
 

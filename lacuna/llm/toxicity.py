@@ -33,7 +33,7 @@ def feature(word: bytes) -> int:
 class Features:
     """Sorted distinct feature numbers of a text."""
 
-    def __init__(self, keep: int = 1_000_000):
+    def __init__(self, keep: int = 150_000):
         self.known, self.keep = {}, keep
 
     def __call__(self, text: str | None) -> np.ndarray:
