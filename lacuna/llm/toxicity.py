@@ -115,7 +115,7 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
         for pdf in batches:
             yield pd.DataFrame({"positive": pdf["positive"], "x": [features(t) for t in pdf["text"].tolist()]})
 
-    taken = train.join(ids, "doc_id").select("positive", "text").limit(8 * most_rows).mapInPandas(take, "positive boolean, x array<int>").toPandas()
+    taken = train.join(ids, "doc_id").select("positive", "text").mapInPandas(take, "positive boolean, x array<int>").limit(8 * most_rows).toPandas()
     sides = [[np.asarray(x, np.int64) for x in taken["x"][taken["positive"] == side]] for side in (True, False)]
     if not sides[0] or not sides[1]:
         return out.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
