@@ -148,6 +148,19 @@ def automata(items: DataFrame, id_col: str, text_col: str, window: int, block_wo
     return paths
 
 
+def groups(texts: list[str | None], most_chars: int = 2_000_000):
+    """(start, stop) of runs of texts of most_chars characters together at most, or of one text."""
+    start = size = 0
+    for k, t in enumerate(texts):
+        n = len(t or "")
+        if k > start and size + n > most_chars:
+            yield start, k
+            start, size = k, 0
+        size += n
+    if texts:
+        yield start, len(texts)
+
+
 class Matcher:
     """Matches against the automata of all blocks, of which it holds one at a time."""
 
@@ -184,8 +197,9 @@ def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         matcher = Matcher(url, paths)
         for pdf in batches:
             rows = []
-            for k in range(0, len(pdf), 500):
-                for w, h, x in matcher(pdf["text"].iloc[k : k + 500].tolist()):
+            texts = pdf["text"].tolist()
+            for a, b in groups(texts):
+                for w, h, x in matcher(texts[a:b]):
                     n = int(h.sum())
                     rows.append((len(w), n, len(x), hashlib.sha256(",".join(sorted(x)).encode()).hexdigest(), n > 0))
             out = pd.DataFrame(rows, columns=["n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
@@ -220,8 +234,8 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: st
         for pdf in batches:
             texts = pdf[text_col].tolist()
             keep = np.ones(len(texts), bool)
-            for k in range(0, len(texts), 500):
-                for i, (w, h, _) in enumerate(matcher(texts[k : k + 500]), k):
+            for a, b in groups(texts):
+                for i, (w, h, _) in enumerate(matcher(texts[a:b]), a):
                     if not h.any():
                         continue
                     keep[i] = h.mean() <= most_coverage
