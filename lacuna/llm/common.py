@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Separators of the byte-level word definition: every byte that is not 0-9, A-Z, a-z or >= 0x80.
@@ -33,6 +36,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: What drops an operator's cache in this Python worker, by the operator's name.
+HELD: dict[str, Callable[[], None]] = {}
+
+
+def tidy(name: str | None = None) -> None:
+    """At the start of a task of operator name: Python workers serve many stages, and what other operators left goes."""
+    for other, drop in HELD.items():
+        if other != name:
+            drop()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of whole texts are kept small, unless the session has a size of its own."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

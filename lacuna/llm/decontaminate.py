@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from lacuna.llm.common import WORD_TABLE, filesystem, shared_path, words_of
+from lacuna.llm.common import WORD_TABLE, filesystem, shared_path, tidy, words_of
 
 NOT_SPACE = re.compile(rb"[^ ]+")
 
@@ -194,6 +194,7 @@ def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     url = shared_path(docs.sparkSession, "")
 
     def look(batches):
+        tidy()
         matcher = Matcher(url, paths)
         for pdf in batches:
             rows = []
@@ -230,6 +231,7 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: st
     url, names = shared_path(docs.sparkSession, ""), docs.columns
 
     def cut(batches):
+        tidy()
         matcher = Matcher(url, paths)
         for pdf in batches:
             texts = pdf[text_col].tolist()

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from lacuna.llm.charcodes import CLASSES, codes, joined, sums
-from lacuna.llm.common import maybe_broadcast, written
+from lacuna.llm.common import maybe_broadcast, tidy, written
 
 #: What a country suffix says of a site's language.
 SUFFIX = {"uk": "en", "us": "en", "au": "en", "ie": "en", "nz": "en", "de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl"}
@@ -64,6 +64,7 @@ def trigram_counts(rows: DataFrame) -> DataFrame:
     """(language, code, n) over all rows with a declared language; tasks send one row for each pair."""
 
     def count(batches):
+        tidy()
         total: dict[str, np.ndarray] = {}
         for pdf in batches:
             for lang, where in pdf.groupby("__lid_declared").indices.items():
@@ -134,6 +135,7 @@ def identify(
 
     def first_pass(batches):
         """Counts by host and by declaration of what the text alone says."""
+        tidy()
         for pdf in batches:
             scores, _, letters = likelihoods(model, pdf["__lid_text"].tolist())
             pdf = pdf.assign(k=scores.argmax(1) if len(pdf) else 0)[letters > 0]
@@ -159,6 +161,7 @@ def identify(
     other = math.log((1 - suffix_trust) / max(1, size - 1))
 
     def fuse(batches):
+        tidy()
         for pdf in batches:
             scores, n, letters = likelihoods(model, pdf["__lid_text"].tolist())
             total = scores * temper

@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lacuna.llm.common import MIX, maybe_broadcast, mix, shuffle_parts, words_of, written
+from lacuna.llm.common import MIX, maybe_broadcast, mix, shuffle_parts, tidy, words_of, written
 from lacuna.llm.graph import components
 
 
@@ -81,6 +81,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """doc_id, set_id (16 bytes, null without words), bands."""
 
     def sign(batches):
+        tidy()
         shingler = Shingler(n)
         for pdf in batches:
             ids, found = [], []
@@ -156,6 +157,7 @@ def links(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("text", "wanted", "component", "blocks")
 
     def sets(batches):
+        tidy()
         shingler = Shingler(n)
         for pdf in batches:
             found = [shingler(t) for t in pdf["text"].tolist()]
@@ -170,6 +172,7 @@ def links(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0
     dealt = dealt.repartition(parts, "component", "a", "b").sortWithinPartitions("component", "a", "b", "set_id")
 
     def verify(batches):
+        tidy()
         out = []
         for g in runs(batches, ["component", "a", "b"]):
             g = g[~g["set_id"].duplicated().to_numpy()]

@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lacuna.llm.common import maybe_broadcast, written
+from lacuna.llm.common import HELD, maybe_broadcast, tidy, written
 
 LETTER = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 NUMBER = "0-9²³¹¼-¾"
@@ -100,6 +100,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+HELD["packing"] = encoder.cache_clear
+
+
 def tokenized(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, source_col: str, max_queues: int, end_id: int) -> DataFrame:
     """A row for each document: its queue, its ids and its place in its task's part of the queue."""
     queues = docs.select(source_col).distinct().limit(max_queues + 1).count()
@@ -113,6 +116,7 @@ def tokenized(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, sour
     def encode(batches):
         from pyspark import TaskContext
 
+        tidy("packing")
         encode_with, part, at = encoder(vocabulary), TaskContext.get().partitionId(), {}
         end = np.asarray([end_id], "<u2").tobytes()
         for pdf in batches:
@@ -187,6 +191,7 @@ def pack(
     rows = tokens.join(maybe_broadcast(by_part.select("part", "queue", "base"), small_rows), ["part", "queue"])
 
     def cut(batches):
+        tidy("packing")
         for pdf in batches:
             if not len(pdf):
                 continue
