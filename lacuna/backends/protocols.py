@@ -27,13 +27,21 @@ class Converter(Protocol):
     def convert(self, clip: np.ndarray, speaker: np.ndarray, rate: int) -> np.ndarray: ...
 
 
+class Encoder(Protocol):
+    def similarity(self, a: np.ndarray, b: np.ndarray, rate: int) -> float: ...
+
+
+class Transcriber(Protocol):
+    def transcribe(self, samples: np.ndarray, rate: int, language: str) -> str: ...
+
+
 class EvenAligner:
-    """Words of equal length over the whole recording."""
+    """Words of equal shares of the recording, with gaps between them."""
 
     def word_times(self, text, duration):
         words = text.split()
         step = duration / max(1, len(words))
-        return [(w, i * step, (i + 1) * step) for i, w in enumerate(words)] or None
+        return [(w, (i + 0.15) * step, (i + 0.85) * step) for i, w in enumerate(words)] or None
 
 
 class HashTagger:
@@ -62,6 +70,18 @@ class SameVoice:
         return clip
 
 
+class SpectrumEncoder:
+    """The cosine of mean log spectra."""
+
+    def similarity(self, a, b, rate):
+        def mean(x):
+            x = np.pad(np.asarray(x, np.float64), (0, max(0, 1024 - len(x))))
+            return np.log1p(np.abs(np.fft.rfft(np.lib.stride_tricks.sliding_window_view(x, 1024)[::512] * np.hanning(1024)))).mean(0)
+
+        u, v = mean(a), mean(b)
+        return float(u @ v / max(np.linalg.norm(u) * np.linalg.norm(v), 1e-12))
+
+
 def choose_slots(rows: DataFrame, tagger: Tagger, retries: int = 2) -> DataFrame:
     """(id, reply, attempts) of rows (id, marked, slots) that offer a slot; a model's error is an empty reply, not a failed job."""
 

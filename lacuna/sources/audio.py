@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import wave
 
 import numpy as np
@@ -37,6 +38,61 @@ def duration(content: bytes) -> float:
         return f.getnframes() / f.getframerate()
 
 
+def clarity(samples) -> float:
+    """Decibels from the 10th to the 90th percentile of levels, within 0-60; 60 below four frames."""
+    from lacuna.operators.dsp import frame_levels
+
+    levels = frame_levels(samples, 1024, 256)
+    a, b = np.maximum(np.percentile(levels, [10, 90]), 1e-10)
+    return 60.0 if len(levels) < 4 else float(np.clip(20 * np.log10(b / a), 0, 60))
+
+
+def tilt(levels: np.ndarray) -> float:
+    """The slope of decibels over the whole length, floored at 40 below the loudest, within 60; 0 below four frames."""
+    db = np.maximum(20 * np.log10(np.maximum(levels, 1e-10) / max(levels.max(initial=0), 1e-10)), -40)
+    return 0.0 if len(db) < 4 else float(np.clip(np.polyfit(np.linspace(0, 1, len(db)), db, 1)[0], -60, 60))
+
+
+def burst_rate(levels: np.ndarray, length: float) -> float:
+    """Peaks of the level a second, above a quarter of the loudest and six frames apart."""
+    inner = np.flatnonzero((levels[1:-1] > levels[:-2]) & (levels[1:-1] >= levels[2:]) & (levels[1:-1] > levels.max(initial=0) * 0.25)) + 1
+    kept, last = 0, -6
+    for k in inner.tolist():
+        if k - last >= 6:
+            kept, last = kept + 1, k
+    return kept / max(length, 1e-9)
+
+
+def _place(path: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/"))
+
+
+def read_bytes(path: str) -> bytes:
+    """A file by its path or URL, as a task reads it from storage that all executors share."""
+    store, where = _place(path)
+    with store.open_input_stream(where) as f:
+        return f.read()
+
+
+def write_bytes(path: str, content: bytes) -> None:
+    """Writes beside the path and renames, so that a retried task leaves a whole file."""
+    store, where = _place(path)
+    store.create_dir(where.rsplit("/", 1)[0], recursive=True)
+    part = f"{where}.{uuid.uuid4().hex}.part"
+    with store.open_output_stream(part) as f:
+        f.write(content)
+    store.move(part, where)
+
+
+def stamp(path: str) -> tuple[int, int] | None:
+    """(size, mtime in ns) of a file; None if there is none."""
+    store, where = _place(path)
+    info = store.get_file_info(where)
+    return (info.size, info.mtime_ns) if info.is_file else None
+
+
 def clip_features(samples: np.ndarray, rate: int) -> dict:
     """The six measures of a clip: level and timing of the trimmed clip, clarity and clipping of the whole one."""
     from lacuna.operators import dsp
@@ -44,22 +100,12 @@ def clip_features(samples: np.ndarray, rate: int) -> dict:
     islands = dsp.nonsilent(samples)
     trimmed = samples if not len(islands) else samples[max(0, islands[0, 0] - int(0.12 * rate)) : islands[-1, 1] + int(0.12 * rate)]
     peak = float(np.abs(trimmed).max(initial=0))
-    levels = dsp.frame_levels(trimmed, 1024, 256)
-    whole = dsp.frame_levels(samples, 1024, 256)
-    a, b = np.maximum(np.percentile(whole, [10, 90]), 1e-10)
-    snr = 60.0 if len(whole) < 4 else float(np.clip(20 * np.log10(b / a), 0, 60))
-    db = np.maximum(20 * np.log10(np.maximum(levels, 1e-10) / max(levels.max(), 1e-10)), -40)
-    tilt = 0.0 if len(db) < 4 else float(np.clip(np.polyfit(np.linspace(0, 1, len(db)), db, 1)[0], -60, 60))
-    inner = np.flatnonzero((levels[1:-1] > levels[:-2]) & (levels[1:-1] >= levels[2:]) & (levels[1:-1] > levels.max() * 0.25)) + 1
-    kept, last = 0, -6
-    for k in inner.tolist():
-        if k - last >= 6:
-            kept, last = kept + 1, k
-    return {"crest": dsp.rms(trimmed) / (peak + 1e-9), "duration": len(trimmed) / rate, "snr_db": snr, "rate_hz": kept / max(len(trimmed) / rate, 1e-9), "tilt_db": tilt, "clipping": float((np.abs(samples) >= 0.999).mean()) if len(samples) else 0.0}
+    levels, length = dsp.frame_levels(trimmed, 1024, 256), len(trimmed) / rate
+    return {"crest": dsp.rms(trimmed) / (peak + 1e-9), "duration": length, "snr_db": clarity(samples), "rate_hz": burst_rate(levels, length), "tilt_db": tilt(levels), "clipping": float((np.abs(samples) >= 0.999).mean()) if len(samples) else 0.0}
 
 
 def feature_table(files: DataFrame) -> DataFrame:
-    """(name, six measures, error) of binaryFile rows; a file that can't be read is a row with an error, not a failed job."""
+    """(name, path, six measures, error) of binaryFile rows; a file that can't be read is a row with an error, not a failed job."""
     names = ("crest", "duration", "snr_db", "rate_hz", "tilt_db", "clipping")
 
     def measure(batches):
@@ -67,9 +113,9 @@ def feature_table(files: DataFrame) -> DataFrame:
             rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
-                    rows.append({"name": path.rsplit("/", 1)[-1], **{k: round(v, 6) for k, v in clip_features(*decode(content)).items()}, "error": None})
+                    rows.append({"name": path.rsplit("/", 1)[-1], "path": path, **{k: round(v, 6) for k, v in clip_features(*decode(content)).items()}, "error": None})
                 except Exception as x:  # one bad file must not stop the rest
-                    rows.append({"name": path.rsplit("/", 1)[-1], **dict.fromkeys(names), "error": repr(x)[:200]})
-            yield pd.DataFrame(rows, columns=["name", *names, "error"]).astype(dict.fromkeys(names, float))
+                    rows.append({"name": path.rsplit("/", 1)[-1], "path": path, **dict.fromkeys(names), "error": repr(x)[:200]})
+            yield pd.DataFrame(rows, columns=["name", "path", *names, "error"]).astype(dict.fromkeys(names, float))
 
-    return files.select("path", "content").mapInPandas(measure, "name string, " + ", ".join(f"{k} double" for k in names) + ", error string")
+    return files.select("path", "content").mapInPandas(measure, "name string, path string, " + ", ".join(f"{k} double" for k in names) + ", error string")

@@ -48,11 +48,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(stem(F.col("audio_filepath")).alias("id"), full.alias("audio_filepath"), "text", "extra")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_stage(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stage table; empty where it doesn't exist yet. Damaged lines raise."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(conf).exists(where):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
@@ -74,3 +77,17 @@ def exported(rows: DataFrame, source: DataFrame, base: str) -> DataFrame:
     path = F.when(F.startswith("audio_filepath", F.lit(base + "/")), F.substr("audio_filepath", F.lit(len(base) + 2))).otherwise(F.col("audio_filepath"))
     extras = source.select("id", "extra").dropDuplicates(["id"])
     return rows.join(extras, "id", "left").select("id", path.alias("audio_filepath"), "text", F.bround("duration", 4).alias("duration"), "extra")
+
+
+def write_manifest(rows: DataFrame, path: str) -> None:
+    """JSON lines of audio_filepath, text, duration and the other keys as they came, in the order of ids."""
+
+    def lines(batches):
+        for pdf in batches:
+            out = []
+            for path_, text, seconds, extra in zip(pdf["audio_filepath"], pdf["text"], pdf["duration"], pdf["extra"]):
+                row = {"audio_filepath": path_, "text": text, "duration": seconds}
+                out.append(json.dumps({**(json.loads(extra) if extra else {}), **row}, ensure_ascii=False))
+            yield pd.DataFrame({"value": out})
+
+    rows.orderBy("id").mapInPandas(lines, "value string").write.mode("overwrite").text(path)
