@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lacuna.llm.common import MIX, maybe_broadcast, mix, shuffle_parts, written
+from lacuna.llm.common import MIX, mix, shuffle_parts, written
 from lacuna.llm.ngram_join import runs
 from lacuna.llm.suffix import repeat_classes
 
@@ -219,7 +219,7 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
     return sure.union(again).groupBy("ahash", "chash").agg(F.collect_list("span").alias("spans"))
 
 
-def repeated_spans(texts: DataFrame, length: int = 400, most: int = 1500, shard_bytes: int = 1 << 21, small_rows: int = 20_000) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = 400, most: int = 1500, shard_bytes: int = 1 << 21) -> DataFrame:
     """Of texts (k1, k2, text), where (k1, k2) tells texts apart: (k1, k2, spans) of those with repeats."""
     if not GRAM <= length <= 1000:
         raise ValueError(f"length must be from {GRAM} to 1000")
@@ -256,7 +256,7 @@ def repeated_spans(texts: DataFrame, length: int = 400, most: int = 1500, shard_
     open_ = contexts.where("kinds > 1").select("ahash", "chash", "n", "kinds", "at.*")
     wanted = open_.groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "ahash", "chash", (F.col("kinds") > most).alias("many"))).alias("wanted"))
     wanted = written(wanted, "wanted")
-    rows = texts.join(maybe_broadcast(wanted, small_rows), ["k1", "k2"])
+    rows = texts.join(wanted, ["k1", "k2"])
     rows = rows.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("wanted").alias("wanted"))
 
     def cut(batches):
@@ -286,11 +286,11 @@ def repeated_spans(texts: DataFrame, length: int = 400, most: int = 1500, shard_
     return hits.groupBy("k1", "k2").agg(F.collect_set("s").alias("spans"))
 
 
-def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, small_rows: int = 20_000, **more) -> DataFrame:
+def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, **more) -> DataFrame:
     """doc_id, n_bytes, kept (bytes without repeats), spans (removed, of bytes) of all docs."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"))
-    spans = written(repeated_spans(rows.select("k1", "k2", "text"), length, small_rows=small_rows, **more), "spans")
+    spans = written(repeated_spans(rows.select("k1", "k2", "text"), length, **more), "spans")
 
     def keep(batches):
         for pdf in batches:
@@ -307,7 +307,7 @@ def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
                 removed.append(gone)
             yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "n_bytes": n, "kept": kept, "spans": removed})
 
-    joined = rows.join(maybe_broadcast(spans, small_rows), ["k1", "k2"], "left").select("doc_id", "text", "spans")
+    joined = rows.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans")
     return joined.mapInPandas(keep, "doc_id long, n_bytes long, kept binary, spans array<struct<lo:long,hi:long>>")
 
 
