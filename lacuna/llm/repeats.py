@@ -24,13 +24,13 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lacuna.llm.common import MIX, mix, shuffle_parts, written
+from lacuna.llm.common import MIX, mix, shuffle_parts, tidy, written
 from lacuna.llm.ngram_join import runs
 from lacuna.llm.suffix import repeat_classes
 
 GRAM = 64
 STEP = 16
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64) * MIX)
 
 
@@ -153,6 +153,7 @@ def _shards(contexts: DataFrame, length: int, shard_bytes: int) -> DataFrame:
     """(ahash, chash, spans) of contexts (ahash, chash, at, bytes): repeated spans relative to the anchor."""
 
     def sort(batches):
+        tidy("repeats")
         held, size, group = [], 0, 0
         for g in runs(batches, ["ahash"]):
             g = g[~g["chash"].duplicated().to_numpy()]
@@ -185,6 +186,7 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
         return max(0, at + GRAM - length), min(at, size - length)
 
     def blocks(batches):
+        tidy("repeats")
         for pdf in batches:
             rows = []
             for a, c, at, data in zip(pdf["ahash"].tolist(), pdf["chash"].tolist(), pdf["at"].tolist(), pdf["bytes"].tolist()):
@@ -207,6 +209,7 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
     rest = contexts.join(open_, ["ahash", "chash"])
 
     def single(batches):
+        tidy("repeats")
         for pdf in batches:
             rows = []
             for a, c, at, data, spans in zip(pdf["ahash"].tolist(), pdf["chash"].tolist(), pdf["at"].tolist(), pdf["bytes"].tolist(), pdf["open"].tolist()):
@@ -225,6 +228,7 @@ def repeated_spans(texts: DataFrame, length: int = 400, most: int = 1500, shard_
         raise ValueError(f"length must be from {GRAM} to 1000")
 
     def mark(batches):
+        tidy("repeats")
         for pdf in batches:
             for k in range(0, len(pdf), 2000):
                 part = pdf.iloc[k : k + 2000]
@@ -260,6 +264,7 @@ def repeated_spans(texts: DataFrame, length: int = 400, most: int = 1500, shard_
     rows = rows.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("wanted").alias("wanted"))
 
     def cut(batches):
+        tidy("repeats")
         for pdf in batches:
             out = []
             for text, want in zip(pdf["text"].tolist(), pdf["wanted"].tolist()):
@@ -267,9 +272,9 @@ def repeated_spans(texts: DataFrame, length: int = 400, most: int = 1500, shard_
                 for w in want:
                     a, b = bounds(w["place"], len(data), length)
                     out.append((w["ahash"], w["chash"], w["many"], w["place"] - a, data[a:b]))
-                if len(out) > 20_000:
-                    yield pd.DataFrame(out, columns=["ahash", "chash", "many", "at", "bytes"])
-                    out = []
+                    if len(out) == 5000:  # a long text has many
+                        yield pd.DataFrame(out, columns=["ahash", "chash", "many", "at", "bytes"])
+                        out = []
             yield pd.DataFrame(out, columns=["ahash", "chash", "many", "at", "bytes"])
 
     pieces = written(rows.mapInPandas(cut, "ahash long, chash long, many boolean, at int, bytes binary"), "pieces")
@@ -293,6 +298,7 @@ def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     spans = written(repeated_spans(rows.select("k1", "k2", "text"), length, **more), "spans")
 
     def keep(batches):
+        tidy("repeats")
         for pdf in batches:
             n, kept, removed = [], [], []
             for t, s in zip(pdf["text"].tolist(), pdf["spans"].tolist()):
