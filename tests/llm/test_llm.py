@@ -62,7 +62,7 @@ def test_repeats(docs, rows, most):
     assert sorted(tuple(r)[1:] for r in got) == removed([r[1] for r in rows], 400)
 
 
-def test_repeats_broadcast_or_not(spark, docs, rows, none):
+def test_repeats_in_small_shards(spark, docs, rows, none):
     got = repeats.digests(repeats.dedupe(docs, length=100, shard_bytes=1000)).collect()
     assert sorted(tuple(r)[1:] for r in got) == removed([r[1] for r in rows], 100)
     assert repeats.dedupe(none).count() == 0
