@@ -326,10 +326,20 @@ def tokens(spark, d):
 e AS (SELECT doc_id, i, regexp_replace(s, '^\s+', '') AS token, sum(len(s)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM p)
 SELECT doc_id, token, CAST(stop - len(token) AS INT) AS start, CAST(stop AS INT) AS stop FROM e""")
 def token_spans(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", F.explode(T.token_spans(F.substring("text", 1, 300))).alias("t"))
+    return span_rows(table(spark, d, "documents").withColumn("text", F.substring("text", 1, 300)))
+
+
+def span_rows(docs):
+    rows = docs.select("doc_id", F.explode(T.token_spans(F.col("text"))).alias("t"))
     return rows.select("doc_id", F.col("t.text").alias("token"), F.col("t.start").alias("start"), F.col("t.end").alias("stop"))
 
 
+@query()
+def token_spans_whole(spark, d):
+    """token_spans without the cut of its SQL."""
+    return span_rows(table(spark, d, "documents"))
+
+
 TAGGED = "tagged AS (SELECT conv_id, turn, text, text[1:5] || '[' || (CASE turn % 3 WHEN 0 THEN 'sigh' WHEN 1 THEN 'Cough' ELSE 'other' END) || '] ' || text[6:] AS tagged FROM conversations)"
 
 
@@ -399,6 +409,12 @@ def deaccent(spark, d):
     return table(spark, d, "documents").select("doc_id", T.deaccent(F.substring("text", 1, 200)).alias("plain"))
 
 
+@query()
+def deaccent_whole(spark, d):
+    """deaccent without the cut of its SQL."""
+    return table(spark, d, "documents").select("doc_id", T.deaccent(F.col("text")).alias("plain"))
+
+
 @query(r"""WITH t AS (SELECT conv_id * 1000 + turn AS id, regexp_extract_all(text, '\S+') AS w FROM conversations),
 c AS (SELECT id, list_filter(list_transform(range(1, len(w) + 1), lambda i: struct_pack(p := i, s := lower(regexp_replace(w[i], '[^\p{L}\p{N}'']', '', 'g')))), lambda x: x.s <> '') AS c FROM t)
 SELECT id, id % 4 <> 0 AS ok, CASE WHEN id % 4 <> 0 THEN CAST(c[len(c)].p AS INT) END AS last_token FROM c WHERE len(c) > 0""")

@@ -167,3 +167,25 @@ def test_sessions_stream(spark, tmp_path):
     q = sessions(stream, "k", "ts", "1 hour", "1 minute").writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted((r.k, r.n) for r in spark.read.parquet(out).collect()) == [("a", 1), ("a", 2)]
+
+
+def test_whole_texts(spark, tmp_path):
+    """Tokens and characters past those that the SQL cuts at, spaces that differ between engines, and nulls."""
+    import unicodedata
+
+    texts = ["đường  ĐỖ\u3000x " * 400 + "končí", "a\x1cb\x85c\xa0d " * 100, " ", "", None, "😀 nữa\n" * 3000, "x" * 299 + "yz tail"]
+    spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    white = {*"\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B))}
+    want = []
+    for i, t in enumerate(texts):
+        start = None
+        for k, c in enumerate((t or "") + " "):
+            if c not in white and start is None:
+                start = k
+            elif c in white and start is not None:
+                want.append((i, t[start:k], start, k))
+                start = None
+    assert sorted(tuple(r) for r in entry.queries()["token_spans_whole"](spark, str(tmp_path)).collect()) == sorted(want)
+    got = {r.doc_id: r.plain for r in entry.queries()["deaccent_whole"](spark, str(tmp_path)).collect()}
+    strip = lambda t: unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn")).replace("đ", "d").replace("Đ", "D")
+    assert got == {i: t if t is None else strip(t) for i, t in enumerate(texts)}
