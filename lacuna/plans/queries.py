@@ -59,6 +59,14 @@ def upsert_by_id(spark, d):
     return keyed.upsert(labels.where("doc_id % 2 = 0").select("doc_id", "quality", F.lit(1).alias("version")), fresh, "doc_id")
 
 
+@query()
+def upsert_by_id_whole(spark, d):
+    """Every label is cached; those of toxic texts come anew."""
+    labels = table(spark, d, "labels")
+    fresh = labels.where("toxic = 1").select("doc_id", (1 - F.col("quality")).alias("quality"), F.lit(2).alias("version"))
+    return keyed.upsert(labels.select("doc_id", "quality", F.lit(1).alias("version")), fresh, "doc_id")
+
+
 @query("SELECT user_id, max_by(event_id, CAST(epoch_us(ts) AS HUGEINT) * 1000000 + event_id) AS event_id, max_by(event_type, CAST(epoch_us(ts) AS HUGEINT) * 1000000 + event_id) AS event_type FROM events GROUP BY user_id")
 def last_wins(spark, d):
     rows = table(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
@@ -447,10 +455,11 @@ def clip_rows(spark, d):
     return series.position_ranks(part, "p_type", "p_retailprice", "p_partkey", "rank").drop("p_retailprice")
 
 
-def need_rows(spark, d):
+def need_rows(spark, d, every=False):
+    """The orders that need a clip: every one, or those of the SQL."""
     w = Window.orderBy("p_type")  # six classes
     types = table(spark, d, "part").select("p_type").distinct().select("p_type", (F.row_number().over(w) - 1).alias("n"))
-    o = table(spark, d, "orders").where("o_orderkey % 10 = 0")
+    o = table(spark, d, "orders") if every else table(spark, d, "orders").where("o_orderkey % 10 = 0")
     o = o.select("o_orderkey", (F.col("o_orderkey") % 6).alias("n"), F.least(F.col("o_totalprice") / 400000, F.lit(1.0)).alias("target"), (1 + F.col("o_custkey") % 50).alias("tempo"))
     return o.join(F.broadcast(types), "n").drop("n")
 
@@ -461,14 +470,33 @@ def clip_cost():
 
 @query(f"WITH {CLIPS} SELECT o_orderkey, p_partkey, round(exp(-{COST}), 6) AS weight FROM need JOIN ranked USING (p_type) WHERE o_orderkey % 500 = 0")
 def clip_weights(spark, d):
-    j = need_rows(spark, d).where("o_orderkey % 500 = 0").join(clip_rows(spark, d), "p_type")
-    return j.select("o_orderkey", "p_partkey", F.round(F.exp(-clip_cost()), 6).alias("weight"))
+    return weight_rows(need_rows(spark, d).where("o_orderkey % 500 = 0"), clip_rows(spark, d))
+
+
+def weight_rows(need, clips):
+    return need.join(clips, "p_type").select("o_orderkey", "p_partkey", F.round(F.exp(-clip_cost()), 6).alias("weight"))
+
+
+@query()
+def clip_weights_whole(spark, d):
+    """clip_weights of all orders."""
+    return weight_rows(need_rows(spark, d, True), clip_rows(spark, d))
 
 
 @query(f"""WITH {CLIPS}, j AS (SELECT o_orderkey, p_partkey, {COST} AS cost, ln(-ln({U.format("'3'" + NUL + "CAST(o_orderkey AS VARCHAR)" + NUL + "CAST(p_partkey AS VARCHAR)")})) + {COST} AS k FROM need JOIN ranked USING (p_type)),
 b AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY k, p_partkey) AS r FROM j) SELECT o_orderkey, p_partkey AS picked, round(cost, 6) AS cost FROM b WHERE r = 1""")
 def weighted_pick(spark, d):
-    return select.weighted_pick(need_rows(spark, d), clip_rows(spark, d), "p_type", "o_orderkey", "p_partkey", clip_cost(), "3").withColumn("cost", F.round("cost", 6))
+    return pick_rows(need_rows(spark, d), clip_rows(spark, d))
+
+
+def pick_rows(need, clips):
+    return select.weighted_pick(need, clips, "p_type", "o_orderkey", "p_partkey", clip_cost(), "3").withColumn("cost", F.round("cost", 6))
+
+
+@query()
+def weighted_pick_whole(spark, d):
+    """weighted_pick for all orders."""
+    return pick_rows(need_rows(spark, d, True), clip_rows(spark, d))
 
 
 @query(f"WITH u AS (SELECT p_partkey, p_type, row_number() OVER (PARTITION BY p_type ORDER BY {U.format("'5'" + NUL + "p_type" + NUL + "CAST(p_partkey AS VARCHAR)")}, p_partkey) AS draw FROM part) SELECT p_partkey, p_type, draw FROM u WHERE draw <= 48")
@@ -497,11 +525,13 @@ MEASURES = BOUNDARY + """, halves AS (SELECT user_id, avg(CASE WHEN i < n // 2 T
 m AS (SELECT h.user_id, src, fin, before, after FROM halves h JOIN boundary b USING (user_id) WHERE h.user_id % 7 <> 0)"""
 
 
-def measure_rows(spark, d):
+def measure_rows(spark, d, every=False):
+    """Measures of every user's series, or of those of the SQL."""
     s = signal(spark, d)
     half = F.floor(F.col("n") / 2)
     h = s.groupBy("user_id").agg(F.avg(F.when(F.col("i") < half, F.col("x"))).alias("src"), F.avg(F.when(F.col("i") >= half, F.col("x"))).alias("fin"))
-    return h.join(boundary_rows(spark, d), "user_id").where("user_id % 7 <> 0")
+    m = h.join(boundary_rows(spark, d), "user_id")
+    return m if every else m.where("user_id % 7 <> 0")
 
 
 def rules():
@@ -513,17 +543,38 @@ _RULES = "list_filter([CASE WHEN fin < 40 THEN 'level' END, CASE WHEN src - fin
 
 @query(f"WITH {MEASURES} SELECT user_id, array_to_string({_RULES}, ',') AS reasons, len({_RULES}) = 0 AS kept, CASE WHEN before >= after THEN 'before' ELSE 'after' END AS side FROM m")
 def gate_reasons(spark, d):
+    return reason_rows(measure_rows(spark, d))
+
+
+@query()
+def gate_reasons_whole(spark, d):
+    """gate_reasons of all users."""
+    return reason_rows(measure_rows(spark, d, True))
+
+
+def reason_rows(measures):
     why = gates.reasons(rules())
-    return measure_rows(spark, d).select("user_id", F.array_join(why, ",").alias("reasons"), (F.size(why) == 0).alias("kept"), gates.side(F.col("before"), F.col("after")).alias("side"))
+    return measures.select("user_id", F.array_join(why, ",").alias("reasons"), (F.size(why) == 0).alias("kept"), gates.side(F.col("before"), F.col("after")).alias("side"))
 
 
 @query(f"WITH {MEASURES}, u AS (SELECT DISTINCT user_id FROM events) SELECT u.user_id, round(m.fin, 6) AS fin FROM u LEFT JOIN m USING (user_id) WHERE m.user_id IS NULL OR len({_RULES}) = 0")
 def gate_fail_open(spark, d):
-    m = measure_rows(spark, d).withColumn("failed", F.size(gates.reasons(rules())) > 0)
-    rows = table(spark, d, "events").select("user_id").distinct().join(m, "user_id", "left")
+    return open_rows(table(spark, d, "events").select("user_id").distinct(), measure_rows(spark, d))
+
+
+def open_rows(users, measures):
+    m = measures.withColumn("failed", F.size(gates.reasons(rules())) > 0)
+    rows = users.join(m, "user_id", "left")
     return rows.where("failed IS NULL OR NOT failed").select("user_id", F.round("fin", 6).alias("fin"))
 
 
+@query()
+def gate_fail_open_whole(spark, d):
+    """gate_fail_open of all users; those without measures are the customers and users without a series."""
+    users = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")).union(table(spark, d, "events").select("user_id")).distinct()
+    return open_rows(users, measure_rows(spark, d, True))
+
+
 @query(f"""WITH {REGIONS}, g AS (SELECT user_id, lead(lo) OVER (PARTITION BY user_id ORDER BY lo) - hi AS gap FROM regions),
 p AS (SELECT user_id, least(greatest(coalesce(quantile_cont(CASE WHEN gap > 0 THEN gap END, 0.5), 60), 60), 86400) / 3600 AS pause FROM g GROUP BY user_id)
 SELECT user_id, greatest(0, CAST(trunc(round((pause * 1.0 * 0.6 - 0.05) * 22050, 3)) AS BIGINT)) AS pre, greatest(0, CAST(trunc(round((pause * 1.0 * 1.4 - 0.05) * 22050, 3)) AS BIGINT)) AS post FROM p""")
@@ -554,8 +605,8 @@ def session_pauses(spark, d):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with a clip picked by weight, behind the quality gate of their customer's series."""
-    picked = weighted_pick(spark, sf_dir)
-    gate = gate_reasons(spark, sf_dir).select("user_id", "reasons", "kept")
+    picked = weighted_pick_whole(spark, sf_dir)
+    gate = gate_reasons_whole(spark, sf_dir).select("user_id", "reasons", "kept")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
     return picked.join(orders, "o_orderkey").join(gate, "user_id", "left").where("kept IS NULL OR kept")
 

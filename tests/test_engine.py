@@ -1,5 +1,7 @@
 """Golden vectors, properties, and all registered queries against their SQL on the smallest tables."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -189,3 +191,39 @@ def test_whole_texts(spark, tmp_path):
     got = {r.doc_id: r.plain for r in entry.queries()["deaccent_whole"](spark, str(tmp_path)).collect()}
     strip = lambda t: unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn")).replace("đ", "d").replace("Đ", "D")
     assert got == {i: t if t is None else strip(t) for i, t in enumerate(texts)}
+
+
+def test_whole_tables(spark):
+    """All orders, users and labels, which the SQL's modulo filters leave out; where the SQL has a row, it is the same one."""
+    run = lambda name: entry.queries()[name](spark, SF)
+    t = lambda name: spark.read.parquet(f"{SF}/{name}.parquet")
+    parts, orders = t("part").collect(), t("orders").collect()
+    kinds = sorted({p.p_type for p in parts})
+    of = {k: sorted((p for p in parts if p.p_type == k), key=lambda p: (p.p_retailprice, p.p_partkey)) for k in kinds}
+    want = {}
+    for o in orders:
+        if o.o_orderkey % 6 >= len(kinds):
+            continue
+        clips = of[kinds[o.o_orderkey % 6]]
+        for k, p in enumerate(clips):
+            rank = k / (len(clips) - 1) if len(clips) > 1 else 0.5
+            cost = abs(rank - min(float(o.o_totalprice) / 400000, 1)) / 0.35 + abs(np.log2(p.p_size / (1 + o.o_custkey % 50)))
+            want[o.o_orderkey, p.p_partkey] = (cost, float(np.exp(-cost)))
+    got = {(r.o_orderkey, r.p_partkey): r.weight for r in run("clip_weights_whole").collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k][1]) < 2e-6 for k in want)
+    draw = lambda o, p: (int(hashlib.sha256(f"3\0{o}\0{p}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+    best = {}
+    for (o, p), (cost, _) in want.items():
+        best[o] = min(best.get(o, (np.inf, 0)), (np.log(-np.log(draw(o, p))) + cost, p))
+    picked = {r.o_orderkey: r.picked for r in run("weighted_pick_whole").collect()}
+    assert picked == {o: p for o, (_, p) in best.items()}
+    for name in ("weighted_pick", "clip_weights", "gate_reasons"):
+        assert run(name).exceptAll(run(f"{name}_whole")).count() == 0
+    users = {r.user_id for r in t("events").select("user_id").distinct().collect()}
+    gate = {r.user_id: r.kept for r in run("gate_reasons_whole").collect()}
+    assert gate.keys() == users
+    everyone = users | {r.c_custkey for r in t("customer").collect()}
+    assert {r.user_id for r in run("gate_fail_open_whole").collect()} == {u for u in everyone if gate.get(u, True)}
+    labels = {r.doc_id: (1 - r.quality, 2) if r.toxic == 1 else (r.quality, 1) for r in t("labels").collect()}
+    assert {r.doc_id: (r.quality, r.version) for r in run("upsert_by_id_whole").collect()} == labels
+    assert {r.o_orderkey for r in engine.flagship(spark, SF).collect()} == {o.o_orderkey for o in orders if o.o_orderkey in best and gate.get(o.o_custkey, True)}
