@@ -3,10 +3,11 @@
 Values found in a text are replaced within their format, so that equal values stay linked
 across documents and different values of a kind stay different:
 
-* card: 13-19 digits, bare or in groups. All digits but the last are permuted; the last keeps its distance from the
-  Luhn check digit, so that valid numbers stay valid and others stay invalid.
+* card: 13-19 digits that pass the Luhn check, bare or in groups. All digits but the last are permuted; the last becomes the
+  new check digit, so that valid numbers stay valid.
 * phone: +country code stays, the other digits are permuted. national: 3-3-4 digits in groups. ssn: 3-2-4 digits.
-* ip: four numbers to 255 are permuted as 32 bits. iban: the checked form's digits are permuted, letters stay.
+* ip: four numbers to 255 are permuted as 32 bits. iban: where mod 97 is 1, the digits behind the
+  check digits are permuted, letters stay, and the check digits are made anew.
 * date: a valid year-month-day or day/month/year of 1800-2199 is permuted among the 146097 days of these years.
 * email: the local part and the host become a keyed digest at example.invalid.
 * secret: a key, token, password or secret with an assigned value of 16 hexadecimal digits or more, permuted as hexadecimal digits.
@@ -14,7 +15,8 @@ across documents and different values of a kind stay different:
 The permutation is an alternating Feistel network on (left, right) of Z_a x Z_b: each round adds a
 keyed SHA-256 of one half to the other, modulo its size. It is a permutation for any a and b,
 so that there is nothing to walk around. Candidates that fail validation (a date such as 2023-02-31, an
-address such as 300.1.1.1) stay as they are.
+address such as 300.1.1.1, a number that fails Luhn or mod 97) stay as they are, also where they
+overlap another value, which is then not looked for.
 
 Edge cases: a null text stays null with 0 values; an empty one stays empty; repeated rows get equal results; an empty table stays empty;
 other columns pass through; columns named like the results are refused.
@@ -101,10 +103,32 @@ def _with(x: Column, f) -> Column:
 
 def card(value: Column, key: str) -> Column:
     def new(d):
-        body, last = F.substr(d, F.lit(1), F.length(d) - 1), F.right(d, F.lit(1)).cast("int")
-        return _with(digits_permuted(body, key, "card"), lambda b: F.concat(b, ((last - luhn(body) + 10 + luhn(b)) % 10).cast("string")))
+        body, last = F.substr(d, F.lit(1), F.length(d) - 1), F.right(d, F.lit(1))
+        made = lambda: _with(digits_permuted(body, key, "card"), lambda b: _with(F.concat(b, luhn(b).cast("string")), lambda r: refilled(value, r)))
+        return F.when(luhn(body).cast("string") == last, made()).otherwise(value)
 
-    return _with(only_digits(value), lambda d: _with(new(d), lambda r: refilled(value, r)))
+    return _with(only_digits(value), new)
+
+
+def mod97(text: Column) -> Column:
+    """The number that digits and capital letters (A is 10, Z is 35) stand for, modulo 97."""
+
+    def step(s, c):
+        return F.when(c.between("0", "9"), s * 10 + c.try_cast("int")).otherwise(s * 100 + F.ascii(c) - 55) % 97
+
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
+def iban(value: Column, key: str) -> Column:
+    """The form's country and check digits go behind the rest, and then the number modulo 97 is 1."""
+
+    def new(v):
+        country, body = F.substr(v, F.lit(1), F.lit(2)), F.substr(v, F.lit(5))
+        check = lambda b: F.lpad((98 - mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0")
+        made = _with(digits_permuted(body, key, "iban"), lambda b: _with(F.concat(check(b), b), lambda r: refilled(value, r)))
+        return F.when((F.length(v) <= 34) & (mod97(F.concat(body, F.substr(v, F.lit(1), F.lit(4)))) == 1), made).otherwise(value)
+
+    return _with(F.regexp_replace(value, " ", ""), new)
 
 
 def phone(value: Column, key: str) -> Column:
@@ -170,7 +194,7 @@ def kind_of(value: Column) -> Column:
 
 
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
-    made = {"email": email, "secret": secret, "phone": phone, "ip": ip, "date": date, "card": card}
+    made = {"email": email, "secret": secret, "phone": phone, "ip": ip, "date": date, "card": card, "iban": iban}
     return reduce(lambda c, k: c.when(kind == k, made[k](value, key) if k in made else plain(value, key, k)), FORMS, F.when(F.lit(False), value)).otherwise(value)
 
 

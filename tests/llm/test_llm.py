@@ -173,6 +173,27 @@ def test_pii(spark, docs, none):
     assert out.columns == [*docs.columns, "pii_count", "pii_kinds"] and out.count() == docs.count() and pii.pseudonymise(none, "k").count() == 0
 
 
+def test_pii_validated_numbers(spark):
+    """Cards pass Luhn and IBANs mod 97 before and after; numbers that fail stay and don't count."""
+    luhn = lambda s: sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(int(c) for c in reversed(s) if c.isdigit())) % 10 == 0
+    mod97 = lambda s: int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+    stay = ["9780306406157", "1700000000001", "4111 1111 1111 1112", "DE88370400440532013000", "GB30 1234 5678 9012 3456", "XX12 0000 0000 0000"]
+    assert not any(luhn(s) for s in stay[:3]) and not any(mod97(s.replace(" ", "")) for s in stay[3:])
+    cards, ibans = ["4111111111111111", "4111 1111 1111 1111", "5500-0000-0000-0004", "6011000990139424001"[:16]], ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "BE68 5390 0754 7034", "PL61109010140000071219812874"]
+    assert all(map(luhn, cards)) and all(mod97(s.replace(" ", "")) for s in ibans)
+    texts = [f"a {s} b" for s in stay + cards + ibans]
+    got = pii.pseudonymise(spark.createDataFrame([*enumerate(texts)], "doc_id int, text string"), "k").orderBy("doc_id").collect()
+    for s, r in zip(stay + cards + ibans, got):
+        new = r.text[2:-2]
+        if s in stay:
+            assert new == s and r.pii_count == 0, s
+        else:
+            assert new != s and r.pii_count == 1 and [c.isdigit() for c in new] == [c.isdigit() for c in s], s
+            assert luhn(new) if s in cards else mod97(new.replace(" ", "")) and new[:2] == s[:2], s
+    flat = lambda r: r.text.replace(" ", "")
+    assert flat(got[6]) == flat(got[7]) and flat(got[10]) == flat(got[11])
+
+
 def grams(text):
     w = words_of(text)
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
