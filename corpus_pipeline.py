@@ -20,14 +20,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of copies and near copies the document with the least id stays; rows without an id stay."""
-    classes = written(ngram_join.classify(docs), "near-duplicates")
-    gone = maybe_broadcast(classes.where("doc_id <> class_id").select("doc_id"), 1_000_000)
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():  # rows that repeat an id are told apart by nothing else
-        left = left.where("doc_id is not null").dropDuplicates(["doc_id"]).union(left.where("doc_id is null"))
-    return left
+    """Of each group of copies and near copies the document with the least id stays; texts decide, so that ids may be null or repeated."""
+    found = written(ngram_join.duplicates(docs), "near-duplicates")
+    few = maybe_broadcast(found.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("n").alias("__n"), F.col("gone").alias("__gone")), 1_000_000)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (ngram_join.text_digest(F.col("text")) == F.col("__digest"))
+    left = docs.join(few, same, "left").where("__gone is null or not __gone")
+    if not found.where("n > 1 and not gone").isEmpty():  # one of the rows that are equal in id and text
+        left = left.where("__n is null").union(left.where("__n is not null").dropDuplicates(["__id", "__digest"]))
+    return left.select(*docs.columns)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import math
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lacuna.llm.common import MIX, maybe_broadcast, mix, shuffle_parts, tidy, words_of, written
 from lacuna.llm.graph import components
@@ -78,7 +78,8 @@ def band_hashes(shingles: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, set_id (16 bytes, null without words), bands."""
+    """doc_id, set_id (16 bytes, null without words), bands, and digest where docs has it."""
+    more = [c for c in docs.columns if c == "digest"]
 
     def sign(batches):
         tidy()
@@ -89,9 +90,9 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 s = shingler(text)
                 ids.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 found.append(band_hashes(s, bands, rows) if len(s) else None)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "set_id": ids, "bands": found})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "set_id": ids, "bands": found} | {c: pdf[c] for c in more})
 
-    return docs.mapInPandas(sign, "doc_id long, set_id binary, bands array<long>")
+    return docs.mapInPandas(sign, ", ".join(["doc_id long, set_id binary, bands array<long>", *[f"{c} binary" for c in more]]))
 
 
 def runs(batches, keys: list[str]):
@@ -141,10 +142,12 @@ def similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
 
 
 def links(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9995, rows: int = 5, block: int = 256, small_rows: int = 500_000) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of docs (doc_id, text): signatures of all, (set_id, n_links) and a spanning forest (u, v) of the linked classes."""
+    """Of docs (doc_id, text and, to tell rows with equal ids apart, digest): signatures of all, (set_id, n_links) and a spanning forest (u, v) of the linked classes."""
     bands = bands_for(threshold, recall, rows)
     signed = written(signatures(docs, n, bands, rows), "signatures")
-    classes = signed.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    told = "digest" in docs.columns
+    rep = F.min(F.struct("digest", "doc_id")) if told else F.min("doc_id")
+    classes = signed.where("set_id is not null").groupBy("set_id").agg(rep.alias("rep"), F.first("bands").alias("bands"))
     classes = written(classes, "classes")
     by_band = classes.select("set_id", F.explode("bands").alias("band"))
     buckets = by_band.groupBy("band").agg(F.count("*").alias("n"), F.min("set_id").alias("hub")).where("n > 1").drop("n")
@@ -154,7 +157,8 @@ def links(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0
     members = groups.join(sizes, "component").withColumnRenamed("node", "set_id").join(classes.select("set_id", "rep"), "set_id")
     members = written(members, "members")
     wanted = maybe_broadcast(members.withColumnRenamed("set_id", "wanted"), small_rows)
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("text", "wanted", "component", "blocks")
+    at = docs["doc_id"].eqNullSafe(wanted["rep"]["doc_id"]) & (docs["digest"] == wanted["rep"]["digest"]) if told else docs["doc_id"].eqNullSafe(wanted["rep"])
+    texts = docs.join(wanted, at).select("text", "wanted", "component", "blocks")
 
     def sets(batches):
         tidy()
@@ -200,6 +204,28 @@ def links(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0
     return signed, found.groupBy("set_id").agg(F.sum("n").alias("n_links")), found.select(F.col("set_id").alias("u"), F.col("root").alias("v"))
 
 
+def text_digest(text: Column) -> Column:
+    """128 bits of a text; a null one's are none."""
+    return F.coalesce(F.unhex(F.md5(text)), F.lit(b""))
+
+
+def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+    """(doc_id, digest, n, gone) of the rows that can't all stay: n rows are equal in id and text, and all of them go, or else all but one.
+
+    Of each group that links and copies connect one row stays: with the least id (null is the last) and of equal ids the least
+    text_digest. Rows without words are linked to nothing."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), text_digest(F.col(text_col)).alias("digest"))
+    signed, _, forest = links(rows, **more)
+    groups = written(components(forest), "link-groups")
+    known = written(signed.groupBy("doc_id", "digest").agg(F.first("set_id").alias("set_id"), F.count("*").alias("n")), "rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("p")
+    sets = known.where("set_id is not null").groupBy("set_id").agg(first)
+    heads = sets.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left").groupBy(F.coalesce("component", "set_id").alias("group")).agg(F.min("p").alias("p"))
+    heads = heads.select(F.col("p.doc_id").alias("head_id"), F.col("p.digest").alias("head_digest"))
+    marked = known.join(heads, known["doc_id"].eqNullSafe(heads["head_id"]) & (known["digest"] == heads["head_digest"]), "left")
+    return marked.select("doc_id", "digest", "n", (F.col("set_id").isNotNull() & F.col("head_digest").isNull()).alias("gone")).where("gone or n > 1")
+
+
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """doc_id, class_id (the least id of all that links and copies connect), copy_id (the least id of equal n-gram sets), n_links (other n-gram sets at the threshold)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

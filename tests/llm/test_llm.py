@@ -303,3 +303,17 @@ def test_pipeline(spark, docs, tmp_path):
     pieces = corpus_pipeline.STAGES[-1][1](spark, d, str(tmp_path))
     assert pieces.count() > 0 and json.dumps(sorted(pieces.columns))
     assert d.where("doc_id in (1, 2, 9)").count() == 0 and d.where("doc_id = 11").count() == 1
+
+
+def test_near_duplicates_by_text(spark):
+    """Different texts under one id all stay, one row of each group stays, and null ids are no exception."""
+    random.seed(11)
+    text = lambda: " ".join(f"w{random.randrange(10**6)}" for _ in range(80))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    near = c.rsplit(" ", 1)[0] + " changed"
+    data = [(1, a, "p"), (1, b, "q"), (2, a, "r"), (2, d, "s"), (3, d.upper(), "t"), (3, d.upper(), "u"), (None, c, "v"), (None, near, "w"), (None, c, "x"), (None, e, "y"), (9, e, "z"), (None, f, "a"), (8, f, "b"), (8, f, "c"), (7, "", "d"), (6, "", "e"), (6, "", "f"), (5, None, "g"), (5, "", "h"), (5, "#", "i")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3)
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect())
+    one = {(None, t) for t in (c, near)} & got.keys()
+    assert len(one) == 1
+    assert got == Counter([(1, a), (1, b), (2, d), *one, (9, e), (8, f), (7, ""), (6, ""), (5, None), (5, ""), (5, "#")])
