@@ -5,6 +5,10 @@ model of character classes for each language, the declared language, the address
 counts, the reliability of declarations and host priors are grouped aggregations over all rows. A
 host's prior is smoothed to its domain's, and that to the whole table's: (n_host,l + a * P(l | domain)) / (n_host + a).
 
+Every declared language has a model, whatever their number. Models are made and scored in blocks of `block` languages
+(64**3 floats each), and each row carries the best language and the log-sum so far from block to block, so that
+memory is bounded; work grows with rows x languages. A tag's language is its first part, without case: en for en_GB.
+
 A text's trigrams aren't independent, so that its likelihood is tempered (`temper`).
 
 A row is rejected if its text holds no letter, if its best language explains it worse than letters
@@ -25,12 +29,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from lacuna.llm.charcodes import CLASSES, codes, joined, sums
-from lacuna.llm.common import maybe_broadcast, tidy, written
+from lacuna.llm.common import filesystem, maybe_broadcast, shared_path, tidy, written
 
 #: What a country suffix says of a site's language.
 SUFFIX = {"uk": "en", "us": "en", "au": "en", "ie": "en", "nz": "en", "de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl"}
 RESULTS = ("language", "language_posterior", "language_kept")
 WORK = ("__lid_declared", "__lid_suffix", "__lid_host", "__lid_domain", "__lid_text")
+PRIOR = ("__lid_hk", "__lid_hn", "__lid_dk", "__lid_dn")
 
 
 def suffix_language(url: Column) -> Column:
@@ -86,12 +91,51 @@ def trigram_counts(rows: DataFrame) -> DataFrame:
     return out.groupBy("language", "code").agg(F.sum("n").alias("n"))
 
 
-def text_model(counts: DataFrame, most: int) -> tuple[list[str], np.ndarray]:
-    """The `most` languages with the most text, and log P(byte class | two before) of each: 64**3 floats a language."""
-    top = sorted(r["language"] for r in counts.groupBy("language").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "language").limit(most).collect())
-    model = np.zeros((len(top), CLASSES**3), np.float32)
-    found = counts.where(F.col("language").isin(top)).toPandas()  # 64**3 rows a language at most
-    for k, lang in enumerate(top):
+class TextModel:
+    """log P(byte class | two before) of each language, in blocks; a single block travels with the task, more lie in the shared folder."""
+
+    def __init__(self, counts: DataFrame, block: int):
+        self.names = sorted(r["language"] for r in counts.select("language").distinct().collect())
+        self.at = range(0, len(self.names), block)
+        self.only, self.folder = None, shared_path(counts.sparkSession, "language-models")
+        for lo in self.at:
+            model = block_model(counts, self.names[lo : lo + block])
+            if len(self.at) == 1:
+                self.only = model
+                break
+            fs, path = filesystem(self.folder)
+            fs.create_dir(path, recursive=True)
+            with fs.open_output_stream(f"{path}/{lo}") as out:
+                out.write(model.tobytes())
+
+    def blocks(self):
+        """(first, last + 1, model) of each block."""
+        for lo in self.at:
+            model = self.only
+            if model is None:
+                fs, path = filesystem(self.folder)
+                with fs.open_input_stream(f"{path}/{lo}") as f:
+                    model = np.frombuffer(f.read(), np.float32).reshape(-1, CLASSES**3)
+            yield lo, lo + len(model), model
+
+    def grouped(self, batches, most: int = 8_000_000):
+        """Batches; where blocks have to be read, several at once, up to so many characters."""
+        held, size = [], 0
+        for pdf in batches:
+            held.append(pdf)
+            size += pdf["__lid_text"].str.len().sum() + len(pdf)
+            if self.only is not None or size > most:
+                yield pd.concat(held, ignore_index=True) if len(held) > 1 else pdf
+                held, size = [], 0
+        if held:
+            yield pd.concat(held, ignore_index=True)
+
+
+def block_model(counts: DataFrame, names: list[str]) -> np.ndarray:
+    """A row of 64**3 log probabilities for each of names."""
+    model = np.zeros((len(names), CLASSES**3), np.float32)
+    found = counts.where(F.col("language").isin(names)).toPandas()  # 64**3 rows a language at most
+    for k, lang in enumerate(names):
         own = found[found["language"] == lang]
         n = np.zeros(CLASSES**3)
         n[own["code"].to_numpy()] = own["n"].to_numpy()
@@ -99,7 +143,12 @@ def text_model(counts: DataFrame, most: int) -> tuple[list[str], np.ndarray]:
         one = (n.sum((0, 1)) + 0.5) / (n.sum() + 0.5 * CLASSES)
         two = (n.sum(0) + 8 * one) / (n.sum(0).sum(-1, keepdims=True) + 8)
         model[k] = np.log((n + 8 * two[None]) / (n.sum(-1, keepdims=True) + 8)).reshape(-1)
-    return top, model
+    return model
+
+
+def language_tag(declared: Column) -> Column:
+    """The language of a tag such as en, EN-us or en_GB; null where there is none."""
+    return F.nullif(F.split(F.lower(F.trim(declared)), "[-_]")[0], F.lit(""))
 
 
 def likelihoods(model: np.ndarray, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,19 +165,19 @@ def likelihoods(model: np.ndarray, texts: list[str | None]) -> tuple[np.ndarray,
 
 
 def identify(
-    docs: DataFrame, text: Column, declared: Column, host: Column, suffix: Column | None = None, languages: int = 64, temper: float = 0.1,
+    docs: DataFrame, text: Column, declared: Column, host: Column, suffix: Column | None = None, block: int = 64, temper: float = 0.1,
     strength: float = 20.0, suffix_trust: float = 0.8, least: float = 0.5, floor: float = -math.log(CLASSES), small_rows: int = 200_000,
 ) -> DataFrame:
     """docs with the columns RESULTS: the language, its posterior, and whether the row is kept."""
-    if clash := {*docs.columns} & {*RESULTS, *WORK}:
+    if clash := {*docs.columns} & {*RESULTS, *WORK, *PRIOR}:
         raise ValueError(f"docs has columns of these results: {sorted(clash)}")
     suffix = F.lit(None).cast("string") if suffix is None else suffix
     rows = docs.select(
-        "*", F.lower(declared).alias("__lid_declared"), suffix.alias("__lid_suffix"), F.coalesce(host, F.lit("")).alias("__lid_host"),
+        "*", language_tag(declared).alias("__lid_declared"), suffix.alias("__lid_suffix"), F.coalesce(host, F.lit("")).alias("__lid_host"),
         F.coalesce(domain_of(host), F.lit("")).alias("__lid_domain"), text.alias("__lid_text"),
     )
-    names, model = text_model(written(trigram_counts(rows.select(*WORK)), "trigrams"), languages)
-    size = len(names)
+    model = TextModel(written(trigram_counts(rows.select(*WORK)), "trigrams"), block)
+    names, size = model.names, len(model.names)
     if not size:
         return docs.select("*", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("language_posterior"), F.lit(False).alias("language_kept"))
     number = {x: k for k, x in enumerate(names)}
@@ -136,49 +185,82 @@ def identify(
     def first_pass(batches):
         """Counts by host and by declaration of what the text alone says."""
         tidy()
-        for pdf in batches:
-            scores, _, letters = likelihoods(model, pdf["__lid_text"].tolist())
-            pdf = pdf.assign(k=scores.argmax(1) if len(pdf) else 0)[letters > 0]
+        for pdf in model.grouped(batches):
+            texts = pdf["__lid_text"].tolist()
+            best, top, letters = np.zeros(len(pdf), int), np.full(len(pdf), -np.inf), np.zeros(len(pdf))
+            for lo, _, own in model.blocks() if len(pdf) else ():
+                scores, _, letters = likelihoods(own, texts)
+                better = scores.max(1) > top
+                best[better], top[better] = scores.argmax(1)[better] + lo, scores.max(1)[better]
+            pdf = pdf.assign(k=best)[letters > 0]
             yield pdf.groupby(["__lid_host", "__lid_domain", "__lid_declared", "k"], dropna=False).size().rename("n").reset_index()
 
     seen = rows.select(*WORK).mapInPandas(first_pass, "__lid_host string, __lid_domain string, __lid_declared string, k int, n long")
     seen = written(seen.groupBy("__lid_host", "__lid_domain", "__lid_declared", "k").agg(F.sum("n").alias("n")), "host-counts")
-    trust = np.full((size, size), 0.5 / size)  # P(declared | language), a row for each language
-    for r in seen.where(F.col("__lid_declared").isin(names)).groupBy("k", "__lid_declared").agg(F.sum("n").alias("n")).collect():
-        trust[r["k"], number[r["__lid_declared"]]] += r["n"]
-    trust = np.log(trust / trust.sum(1, keepdims=True))
-
-    share = [F.coalesce(F.sum(F.when(F.col("k") == k, F.col("n"))), F.lit(0)).cast("double") for k in range(size)]
-    whole = np.array(seen.agg(*share).first(), float) + 1
+    said: dict[int, tuple[list[int], list[int]]] = {}  # P(declared | language): the languages found under each declaration
+    said_n = np.full(size, 0.5)
+    for r in seen.where("__lid_declared is not null").groupBy("k", "__lid_declared").agg(F.sum("n").alias("n")).collect():
+        if (declared_k := number.get(r["__lid_declared"])) is not None:
+            ks, ns = said.setdefault(declared_k, ([], []))
+            ks.append(r["k"])
+            ns.append(r["n"])
+            said_n[r["k"]] += r["n"]
+
+    whole = np.ones(size)
+    for r in seen.groupBy("k").agg(F.sum("n").alias("n")).collect():
+        whole[r["k"]] += r["n"]
     whole = whole / whole.sum()
-    by_domain = seen.groupBy("__lid_domain").agg(F.array(*share).alias("domain_n"))
-    by_host = seen.groupBy("__lid_host", "__lid_domain").agg(F.array(*share).alias("host_n"))
-    mean = F.array(*[F.lit(float(x)) for x in whole])
-    smooth = lambda n, prior: F.transform(F.arrays_zip(n.alias("n"), prior.alias("p")), lambda x: (x["n"] + strength * x["p"]) / (F.aggregate(n, F.lit(0.0), lambda a, b: a + b) + strength))
-    domains = by_domain.select("__lid_domain", smooth(F.col("domain_n"), mean).alias("domain_p"))
-    priors = by_host.join(domains, "__lid_domain").select("__lid_host", smooth(F.col("host_n"), F.col("domain_p")).alias("__lid_prior"))
+
+    def counted(*keys):
+        """The languages found under the keys, and how often; as arrays, since most languages are not."""
+        return seen.groupBy(*keys, "k").agg(F.sum("n").alias("n")).groupBy(*keys).agg(F.collect_list(F.struct("k", "n")).alias("x"))
+
+    domains = counted("__lid_domain").select("__lid_domain", F.col("x.k").alias("__lid_dk"), F.col("x.n").alias("__lid_dn"))
+    priors = counted("__lid_host", "__lid_domain").join(domains, "__lid_domain").select("__lid_host", F.col("x.k").alias("__lid_hk"), F.col("x.n").alias("__lid_hn"), "__lid_dk", "__lid_dn")
     priors = written(priors, "host-priors")
     other = math.log((1 - suffix_trust) / max(1, size - 1))
 
+    def smooth(ks, ns, prior, lo, hi):
+        """(n + strength * prior) / (all n + strength) of languages lo to hi."""
+        out = strength * prior
+        mine = (ks >= lo) & (ks < hi)
+        out[ks[mine] - lo] += ns[mine]
+        return out / (ns.sum() + strength)
+
+    def evidence(pdf, lo, hi):
+        """Log prior by host and log likelihoods of declaration and suffix: rows x languages lo to hi."""
+        hosts, first = pdf["__lid_host"].factorize()[0], ~pdf["__lid_host"].duplicated().to_numpy()
+        table = [whole[lo:hi] if hk is None else smooth(hk, hn, smooth(dk, dn, whole[lo:hi], lo, hi), lo, hi) for hk, hn, dk, dn in pdf.loc[first, [*PRIOR]].itertuples(index=False)]
+        total = np.log(np.array(table, float).reshape(-1, hi - lo))[hosts]
+        at = pdf["__lid_declared"].map(number)
+        for k in at.dropna().unique().astype(int).tolist():
+            n = np.full(size, 0.5 / size)
+            ks, ns = said.get(k, ((), ()))
+            n[list(ks)] += ns
+            total[(at == k).to_numpy()] += np.log(n / said_n)[lo:hi]
+        at = pdf["__lid_suffix"].map(number)
+        for k in at.dropna().unique().astype(int).tolist():
+            total[(at == k).to_numpy()] += np.where(np.arange(lo, hi) == k, math.log(suffix_trust), other)
+        return total
+
     def fuse(batches):
         tidy()
-        for pdf in batches:
-            scores, n, letters = likelihoods(model, pdf["__lid_text"].tolist())
-            total = scores * temper
-            prior = [whole if p is None else p for p in pdf["__lid_prior"]]
-            total += np.log(np.array(prior, float).reshape(-1, size))
-            for column, table in (("__lid_declared", trust.T), ("__lid_suffix", np.where(np.eye(size, dtype=bool), math.log(suffix_trust), other))):
-                at = pdf[column].map(number)
-                known = at.notna().to_numpy()
-                total[known] += table[at[known].astype(int).to_numpy()]
-            best = total.argmax(1) if len(pdf) else np.zeros(0, int)
-            top = total.max(1, keepdims=True) if len(pdf) else total
-            p = 1 / np.exp(total - top).sum(1)
-            mean = scores[np.arange(len(pdf)), best] / np.maximum(n, 1)
+        for pdf in model.grouped(batches):
+            texts, k = pdf["__lid_text"].tolist(), np.arange(len(pdf))
+            best, top, mean, share, letters = np.zeros(len(pdf), int), np.full(len(pdf), -np.inf), np.zeros(len(pdf)), np.zeros(len(pdf)), np.zeros(len(pdf))
+            for lo, hi, own in model.blocks() if len(pdf) else ():
+                scores, n, letters = likelihoods(own, texts)
+                total = scores * temper + evidence(pdf, lo, hi)
+                at = total.argmax(1)
+                better = total[k, at] > top
+                high = np.where(better, total[k, at], top)
+                share = share * np.exp(top - high) + np.exp(total - high[:, None]).sum(1)
+                best, mean, top = np.where(better, at + lo, best), np.where(better, scores[k, at] / np.maximum(n, 1), mean), high
+            p = 1 / share
             lang = np.where(letters > 0, np.array(names, object)[best], None)
-            yield pdf.drop(columns=[*WORK, "__lid_prior"]).assign(language=lang, language_posterior=p, language_kept=(letters > 0) & (p >= least) & (mean >= floor))
+            yield pdf.drop(columns=[*WORK, *PRIOR]).assign(language=lang, language_posterior=p, language_kept=(letters > 0) & (p >= least) & (mean >= floor))
 
-    joined_rows = rows.join(maybe_broadcast(priors, small_rows), "__lid_host", "left").select(*docs.columns, *WORK, "__lid_prior")
+    joined_rows = rows.join(maybe_broadcast(priors, small_rows), "__lid_host", "left").select(*docs.columns, *WORK, *PRIOR)
     schema = StructType([*docs.schema.fields, StructField("language", StringType()), StructField("language_posterior", DoubleType()), StructField("language_kept", BooleanType())])
     return joined_rows.mapInPandas(fuse, schema)
 

@@ -317,3 +317,18 @@ def test_near_duplicates_by_text(spark):
     one = {(None, t) for t in (c, near)} & got.keys()
     assert len(one) == 1
     assert got == Counter([(1, a), (1, b), (2, d), *one, (9, e), (8, f), (7, ""), (6, ""), (5, None), (5, ""), (5, "#")])
+
+
+def test_every_declared_language(spark):
+    """150 languages of their own letters each get their own; blocks and tags don't change that."""
+    random.seed(4)
+    sets = [random.sample("abcdefghijklmnopqrstuvwxyz", 5) for _ in range(150)]
+    word = lambda k: "".join(random.choices(sets[k], k=6))
+    data = [(k * 3 + i, " ".join(word(k) for _ in range(150)), [f"l{k:03d}", f"L{k:03d}-xx", f"l{k:03d}_YY"][i], f"h{k}") for k in range(150) for i in range(3)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {r.doc_id: r for r in language.identify_documents(df).collect()}
+    assert {i: got[i].language for i, *_ in data} == {i: f"l{i // 3:03d}" for i, *_ in data}
+    few = df.where("doc_id < 30")
+    one, more = ({r.doc_id: r for r in language.identify_documents(few, block=b, temper=0.001).collect()} for b in (64, 3))
+    assert {r.language for r in one.values()} == {f"l{k:03d}" for k in range(10)}
+    assert all(one[i].language == more[i].language and one[i].language_kept == more[i].language_kept and abs(one[i].language_posterior - more[i].language_posterior) < 1e-9 for i in one)
