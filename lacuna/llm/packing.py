@@ -1,7 +1,7 @@
 """Mixture-controlled packing by deficit round-robin over source queues.
 
 Every source is a queue of tokens. Queues are served in quanta: a queue's u-th quantum falls due at
-virtual time (u + 1/2) * quantum / T_s, so that a queue is never more than one quantum from its
+virtual time (u + 1/2) * quantum / T_s, where T_s is its target weight or else its tokens, so that a queue is never more than one quantum from its
 target share of the stream, and what it is short of (its deficit) passes on to the next window. Due
 times are a closed form, so that deficits also pass from partition to partition without any task
 waiting for another: the rank of a quantum in the stream is a sum of one count for each queue. Windows
@@ -9,7 +9,7 @@ are runs of `window` ranks; all are full but the last one.
 
 Edge cases: a null or empty text is one end token; a null source is a queue of its own; documents
 with equal or null ids are packed as rows of their own; an empty table gives no rows; columns other than the id, text and
-source columns are ignored. More than max_queues sources share queues by hash.
+source columns are ignored. Every source has a queue of its own; work grows with pieces x sources.
 """
 
 from __future__ import annotations
@@ -103,12 +103,9 @@ def encoder(path: str) -> Encoder:
 HELD["packing"] = encoder.cache_clear
 
 
-def tokenized(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, source_col: str, max_queues: int, end_id: int) -> DataFrame:
+def tokenized(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, source_col: str, end_id: int) -> DataFrame:
     """A row for each document: its queue, its ids and its place in its task's part of the queue."""
-    queues = docs.select(source_col).distinct().limit(max_queues + 1).count()
     queue = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null"))
-    if queues > max_queues:
-        queue = F.concat(F.lit("#"), F.pmod(F.xxhash64(queue), F.lit(max_queues)).cast("string"))
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), queue.alias("queue"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
@@ -132,16 +129,16 @@ def tokenized(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, sour
     return rows.mapInPandas(encode, "part int, queue string, doc_id long, n long, at long, ids binary")
 
 
-def ranks(queue: np.ndarray, unit: np.ndarray, totals: np.ndarray, quantum: int) -> np.ndarray:
-    """The rank in the stream of the first token of each unit-th quantum of queue."""
-    due = (unit + 0.5) * quantum / totals[queue]
+def ranks(queue: np.ndarray, unit: np.ndarray, totals: np.ndarray, quantum: int, rates: np.ndarray) -> np.ndarray:
+    """The rank in the stream of the first token of each unit-th quantum of queue; queues run in proportion to rates until they are dry."""
+    due = (unit + 0.5) * quantum / rates[queue]
     out = unit * quantum
-    for s, total in enumerate(totals):
+    for s, (total, rate) in enumerate(zip(totals, rates)):
         most = -(-int(total) // quantum)
-        c = np.clip(np.ceil(due * total / quantum - 0.5).astype(np.int64), 0, most)
+        c = np.clip(np.ceil(due * rate / quantum - 0.5), 0, most).astype(np.int64)
 
-        def before(u, s=s, total=total):
-            t = (u + 0.5) * quantum / total
+        def before(u, s=s, rate=rate):
+            t = (u + 0.5) * quantum / rate
             return (t < due) | ((t == due) & (s < queue))
 
         c -= (c > 0) & ~before(c - 1)
@@ -150,7 +147,7 @@ def ranks(queue: np.ndarray, unit: np.ndarray, totals: np.ndarray, quantum: int)
     return out
 
 
-def pieces(n: np.ndarray, at: np.ndarray, queue: np.ndarray, totals: np.ndarray, quantum: int, window: int):
+def pieces(n: np.ndarray, at: np.ndarray, queue: np.ndarray, totals: np.ndarray, quantum: int, window: int, rates: np.ndarray | None = None):
     """(document's row, start, length, rank) of the pieces that documents at `at` in their queues are cut into."""
     first, last = at // quantum, (at + n - 1) // quantum
     count = last - first + 1
@@ -158,7 +155,7 @@ def pieces(n: np.ndarray, at: np.ndarray, queue: np.ndarray, totals: np.ndarray,
     unit = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + first[row]
     lo = np.maximum(unit * quantum, at[row])
     hi = np.minimum((unit + 1) * quantum, (at + n)[row])
-    rank = ranks(queue[row], unit, totals, quantum) + lo - unit * quantum
+    rank = ranks(queue[row], unit, totals, quantum, totals if rates is None else rates) + lo - unit * quantum
     # cut at window ends; a quantum is no longer than a window, so that there is one cut at most
     cut = np.minimum((rank // window + 1) * window - rank, hi - lo)
     two = cut < hi - lo
@@ -176,18 +173,28 @@ def pieces(n: np.ndarray, at: np.ndarray, queue: np.ndarray, totals: np.ndarray,
 
 def pack(
     docs: DataFrame, vocabulary: str, window: int = 2048, quantum: int = 128, id_col: str = "doc_id", text_col: str = "text",
-    source_col: str = "source", max_queues: int = 1024, end_id: int = 1, small_rows: int = 200_000,
+    source_col: str = "source", end_id: int = 1, small_rows: int = 200_000,
+    weights: dict[str | None, float] | None = None,
 ) -> DataFrame:
-    """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source queue."""
+    """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source queue.
+
+    weights: each source's share of the windows, relative to the others'; by default its tokens. Once a source has run dry, the
+    others share the windows by their weights."""
     if not 0 < quantum <= window:
         raise ValueError("quantum must be from 1 to window")
-    tokens = written(tokenized(docs, vocabulary, id_col, text_col, source_col, max_queues, end_id), "tokens")
+    tokens = written(tokenized(docs, vocabulary, id_col, text_col, source_col, end_id), "tokens")
     by_part = tokens.groupBy("part", "queue").agg(F.sum("n").alias("n"))
     by_part = written(
         by_part.select("part", "queue", "n", F.coalesce(F.sum("n").over(Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base")), "queues"
     )
-    found = sorted((r["queue"], r["n"]) for r in by_part.groupBy("queue").agg(F.sum("n").alias("n")).collect())  # max_queues rows at most
+    found = sorted((r["queue"], r["n"]) for r in by_part.groupBy("queue").agg(F.sum("n").alias("n")).collect())  # a row a source
     number, totals = {q: i for i, (q, _) in enumerate(found)}, np.array([n for _, n in found], np.int64)
+    rates = None
+    if weights is not None:
+        given = {"null" if k is None else f"={k}": float(w) for k, w in weights.items()}
+        if missing := [q for q, _ in found if not 0 < given.get(q, 0) < float("inf")]:
+            raise ValueError(f"no positive weight for queues {missing[:5]}")
+        rates = np.array([given[q] for q, _ in found])
     rows = tokens.join(maybe_broadcast(by_part.select("part", "queue", "base"), small_rows), ["part", "queue"])
 
     def cut(batches):
@@ -196,7 +203,7 @@ def pack(
             if not len(pdf):
                 continue
             n, at = pdf["n"].to_numpy(), (pdf["at"] + pdf["base"]).to_numpy()
-            row, start, length, rank = pieces(n, at, pdf["queue"].map(number).to_numpy(), totals, quantum, window)
+            row, start, length, rank = pieces(n, at, pdf["queue"].map(number).to_numpy(), totals, quantum, window, rates)
             ids = pdf["ids"].tolist()
             crc, was, wide = np.empty(len(row), np.int64), -1, b""
             for k, (r, a, b) in enumerate(zip(row.tolist(), start.tolist(), length.tolist())):

@@ -332,3 +332,21 @@ def test_every_declared_language(spark):
     one, more = ({r.doc_id: r for r in language.identify_documents(few, block=b, temper=0.001).collect()} for b in (64, 3))
     assert {r.language for r in one.values()} == {f"l{k:03d}" for k in range(10)}
     assert all(one[i].language == more[i].language and one[i].language_kept == more[i].language_kept and abs(one[i].language_posterior - more[i].language_posterior) < 1e-9 for i in one)
+
+
+def test_packing_targets(spark):
+    """Windows follow the weights until a queue runs dry, then the weights of the rest; every source has a queue of its own."""
+    totals, rates = np.array([6000, 3000, 1000]), np.array([1.0, 1.0, 2.0])
+    got = [packing.pieces(np.array([n]), np.array([0]), np.array([q]), totals, 16, 500, rates) for q, n in enumerate(totals)]
+    at = [np.concatenate([np.arange(k, k + n) for k, n in zip(g[3], g[2])]) for g in got]
+    assert (np.sort(np.concatenate(at)) == np.arange(10000)).all()
+    share = lambda lo, hi: [int(((a >= lo) & (a < hi)).sum()) for a in at]
+    near = lambda got, want: all(abs(g - w) <= 32 for g, w in zip(got, want))
+    assert all(near(share(lo, lo + 500), (125, 125, 250)) for lo in range(0, 2000, 500))
+    assert near(share(2200, 4200), (1000, 1000, 0)) and near(share(8000, 10000), (2000, 0, 0))
+    df = spark.createDataFrame([(i, "a few words here " * 20, f"s{i}") for i in range(1100)], "doc_id long, text string, source string").repartition(3)
+    out = packing.pack(df, vocabulary_path(), weights={f"s{i}": 1 + i % 2 for i in range(1100)}).collect()
+    assert {(r.doc_id, r.queue) for r in out} == {(i, f"=s{i}") for i in range(1100)}
+    assert sum(r.length for r in out) == sum({r.doc_id: r.doc_tokens for r in out}.values())
+    with pytest.raises(ValueError):
+        packing.pack(df, vocabulary_path(), weights={"s0": 1})
