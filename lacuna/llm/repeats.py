@@ -318,9 +318,9 @@ def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
 
 
 def digests(output: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and text: what is left (U+FFFD for a character of which only a part is)."""
     size = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["hi"] - x["lo"])
-    return output.select("doc_id", "n_bytes", size.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return output.select("doc_id", "n_bytes", size.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 __all__ = ["anchors", "dedupe", "digests", "repeated_spans"]
