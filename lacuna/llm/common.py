@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -59,12 +60,13 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, as in tests, one of our own if all run on this machine; a cluster has to name one."""
     small_batches(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + os.path.join(tempfile.gettempdir(), "lacuna-shared")
-        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 

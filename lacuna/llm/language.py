@@ -16,7 +16,7 @@ drawn at random would (`floor` nats a byte), or if no language reaches `least` o
 
 Edge cases: null or empty texts hold no letter: language null, kept false; a null declaration, suffix
 or host is no evidence; a table without any declaration rejects all rows; repeated rows get the same result each; all
-columns of the input stay, and a column named like one of this operator's results is refused.
+columns of the input stay, but those named like this operator's results are replaced by them.
 """
 
 from __future__ import annotations
@@ -169,13 +169,13 @@ def identify(
     strength: float = 20.0, suffix_trust: float = 0.8, least: float = 0.5, floor: float = -math.log(CLASSES), small_rows: int = 200_000,
 ) -> DataFrame:
     """docs with the columns RESULTS: the language, its posterior, and whether the row is kept."""
-    if clash := {*docs.columns} & {*RESULTS, *WORK, *PRIOR}:
-        raise ValueError(f"docs has columns of these results: {sorted(clash)}")
+    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (*RESULTS, *WORK, *PRIOR)]
     suffix = F.lit(None).cast("string") if suffix is None else suffix
     rows = docs.select(
-        "*", language_tag(declared).alias("__lid_declared"), suffix.alias("__lid_suffix"), F.coalesce(host, F.lit("")).alias("__lid_host"),
+        *keep, language_tag(declared).alias("__lid_declared"), suffix.alias("__lid_suffix"), F.coalesce(host, F.lit("")).alias("__lid_host"),
         F.coalesce(domain_of(host), F.lit("")).alias("__lid_domain"), text.alias("__lid_text"),
     )
+    docs = docs.select(*keep)
     model = TextModel(written(trigram_counts(rows.select(*WORK)), "trigrams"), block)
     names, size = model.names, len(model.names)
     if not size:

@@ -29,6 +29,7 @@ from lacuna.llm.common import filesystem, shared_path, shuffle_parts, written
 ROW = 576
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 HEADER_BYTES = 33
+METADATA = ("width", "height", "depth")
 
 
 def _chunk(kind: bytes, data: bytes) -> bytes:
@@ -153,32 +154,32 @@ def headers(index: DataFrame, folder: str) -> DataFrame:
     def read(batches):
         for pdf, heads in _ranges(folder, batches, lambda n: min(n, HEADER_BYTES)):
             found = [read_header(h) for h in heads]
-            yield pdf.assign(**{k: [f[k] for f in found] for k in ("width", "height", "depth")})
+            yield pdf.assign(**{k: [f[k] for f in found] for k in METADATA})
 
-    return index.mapInPandas(read, StructType(index.schema.fields + [StructField(k, IntegerType()) for k in ("width", "height", "depth")]))
+    return index.mapInPandas(read, StructType(index.schema.fields + [StructField(k, IntegerType()) for k in METADATA]))
 
 
 def read_back(index: DataFrame, folder: str) -> DataFrame:
-    """What the stored bytes hold: a row for each row of the index."""
+    """What the stored bytes hold: a row for each row of an index with headers, whose width and height the payload must have."""
 
     def read(batches):
         for pdf, media in _ranges(folder, batches, lambda n: n):
             rows, was, last = [], None, None
-            for doc_id, n_bytes, digest, m in zip(pdf["doc_id"].tolist(), pdf["n_bytes"].tolist(), pdf["digest"].tolist(), media):
+            for doc_id, n_bytes, digest, width, height, depth, m in zip(*(pdf[c].tolist() for c in ("doc_id", "n_bytes", "digest", "width", "height", "depth")), media):
                 if m is not was:
-                    payload, head = decode_png(m), read_header(m[:HEADER_BYTES])
+                    payload = decode_png(m)
                     found = hashlib.sha256(payload).hexdigest()
-                    if found != digest:
-                        raise ValueError(f"stored bytes of {digest} have digest {found}")
-                    last, was = (len(payload), found, zlib.crc32(payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), features(payload, head["width"], head["height"])), m
+                    if found != digest or len(payload) != width * height:
+                        raise ValueError(f"stored bytes of {digest}, {width} x {height}, have {len(payload)} samples and digest {found}")
+                    last, was = (len(payload), found, zlib.crc32(payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), features(payload, width, height), width, height, depth), m
                 rows.append((doc_id, n_bytes, *last))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", *METADATA]).astype({"doc_id": "Int64"})
 
-    return index.mapInPandas(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return index.mapInPandas(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, width int, height int, depth int")
 
 
 def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Store all texts of docs, then read them back."""
+    """Store all texts of docs, fill the metadata columns from the headers, then read the payloads back."""
     folder = shared_path(docs.sparkSession, "media")
     index = written(store(docs, folder, id_col, text_col), "media-index")
-    return read_back(spread(index), folder)
+    return read_back(headers(spread(index), folder), folder)

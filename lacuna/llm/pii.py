@@ -19,11 +19,13 @@ address such as 300.1.1.1, a number that fails Luhn or mod 97) stay as they are,
 overlap another value, which is then not looked for.
 
 Edge cases: a null text stays null with 0 values; an empty one stays empty; repeated rows get equal results; an empty table stays empty;
-other columns pass through; columns named like the results are refused.
+other columns pass through, but those named like the results (pii_count, pii_kinds) are replaced by them.
 """
 
 from __future__ import annotations
 
+import hashlib
+import hmac
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -48,6 +50,12 @@ DAYS, DAYS_A, DAYS_B = 146097, 627, 233
 RESULTS = ("pii_count", "pii_kinds")
 
 
+def subkey(key: str) -> str:
+    """A digest that stands for the key in plans, event logs and the user interface, which show literals; the key can't be told from it, nor
+    other subkeys. Whoever sees it can still link pseudonyms, so plans are for those who may."""
+    return hmac.new(key.encode("utf-8"), b"lacuna pseudonyms 1", hashlib.sha256).hexdigest()
+
+
 def permuted(left: Column, right: Column, a: Column, b: Column, key: str, tweak: Column) -> Column:
     """struct(l, r): the image of (left, right) in Z_a x Z_b under the key and tweak."""
 
@@ -200,9 +208,8 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """docs with replaced values in text_col, and the columns RESULTS: how many, and their kinds in order."""
-    if clash := {*docs.columns} & {*RESULTS, "__pii"}:
-        raise ValueError(f"docs has columns of these results: {sorted(clash)}")
-    text = F.col(text_col)
+    text, key = F.col(text_col), subkey(key)
+    docs = docs.drop(*RESULTS, "__pii")
     found = F.when(F.regexp_like(text, F.lit(HINT)), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     kinds = F.transform(found, lambda v: F.struct(v.alias("value"), kind_of(v).alias("kind")))
     values = F.transform(kinds, lambda x: F.struct(x["kind"].alias("kind"), x["value"].alias("old"), pseudonym(x["value"], x["kind"], key).alias("new")))

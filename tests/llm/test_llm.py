@@ -122,7 +122,9 @@ def test_packing_mixture():
 
 
 def test_media(docs, rows, none, spark):
-    got = sorted(((r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in media.media_columns(docs).collect()))
+    out = media.media_columns(docs).collect()
+    assert all((r.width, r.height, r.depth) == (576, r.payload_bytes // 576, 8) for r in out)
+    got = sorted(((r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in out))
     want = []
     for r in rows:
         raw = (r[1] or "").encode()
@@ -195,6 +197,42 @@ def test_pii_validated_numbers(spark):
     assert flat(got[6]) == flat(got[7]) and flat(got[10]) == flat(got[11])
 
 
+def test_clashing_names(spark):
+    """Columns named like results are replaced by them, in operators 5 and 6; the pipeline's stages give them back as they were."""
+    data = [(i, "the man and the woman are at a.b@c.org in the house", "en", "s", "mine", 7) for i in range(4)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, language string, pii_count int")
+    assert {r.language for r in language.identify_documents(docs).collect()} == {"en"}
+    assert {r.pii_count for r in pii.pseudonymise(docs, "k").collect()} == {1}
+    for stage in (corpus_pipeline.identify_language, corpus_pipeline.pseudonymise):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and {(r.language, r.pii_count) for r in out.collect()} == {("mine", 7)}
+
+
+def test_key_is_not_in_plans(spark):
+    docs = spark.createDataFrame([(1, "4111111111111111")], "doc_id long, text string")
+    plan = pii.pseudonymise(docs, "very secret key")._jdf.queryExecution().toString()
+    assert "very secret key" not in plan
+    one, two = (pii.pseudonymise(docs, k).first().text for k in ("k", "l"))
+    assert one != two
+
+
+def test_shared_folder():
+    """Without spark.checkpoint.dir a folder of one machine serves only what runs on it."""
+    from types import SimpleNamespace
+
+    from lacuna.llm import common
+
+    def session(master, folder=None):
+        conf = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.checkpoint.dir": folder}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf[k]), sparkContext=SimpleNamespace(master=master))
+
+    assert common.shared_root(session("yarn", "hdfs://a/b/")) == "hdfs://a/b"
+    assert common.shared_root(session("local[4]")).startswith("file://")
+    for master in ("yarn", "spark://somewhere:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            common.shared_root(session(master))
+
+
 def grams(text):
     w = words_of(text)
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
