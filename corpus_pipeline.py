@@ -14,13 +14,22 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
+def own_columns(stage, docs: DataFrame, *names: str) -> DataFrame:
+    """stage(docs), where columns of docs with the given names are out of the way meanwhile and come back as they were."""
+    taken = {c: f"__own_{c}" for c in docs.columns if c.lower() in names}
+    out = stage(docs.withColumnsRenamed(taken))
+    return out.select(*[F.col(f"`{taken.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an identifiable language go."""
-    return language.identify_documents(docs).where("language_kept").select(*docs.columns)
+    """Documents without an identifiable language go: those whose text is null, empty or without letters too. Repeated rows fare alike; an empty table stays empty."""
+    return own_columns(lambda d: language.identify_documents(d).where("language_kept"), docs, *language.RESULTS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of copies and near copies the document with the least id stays; texts decide, so that ids may be null or repeated."""
+    """Of each group of copies and near copies the document with the least id stays; texts decide, so that ids may be null or repeated.
+
+    Texts without words are linked to nothing and stay; of rows that are equal in id and text one stays; an empty table stays empty."""
     found = written(ngram_join.duplicates(docs), "near-duplicates")
     few = maybe_broadcast(found.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("n").alias("__n"), F.col("gone").alias("__gone")), 1_000_000)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (ngram_join.text_digest(F.col("text")) == F.col("__digest"))
@@ -31,17 +40,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of benchmark items go, and with them documents that are mostly such passages."""
+    """Passages of benchmark items go, and with them documents that are mostly such passages. Null and empty texts stay; other columns and null ids pass through."""
     return measured(decontaminate.clean(docs, load(spark, sf_dir, "benchmark")))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data are replaced within their formats."""
-    return measured(pii.pseudonymise(docs, PSEUDONYM_KEY).select(*docs.columns))
+    """Personal data are replaced within their formats. Null texts stay null; other columns pass through."""
+    return measured(own_columns(lambda d: pii.pseudonymise(d, PSEUDONYM_KEY), docs, *pii.RESULTS))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All that is left, as pieces of sequences."""
+    """All that is left, as pieces of sequences; a null or empty text is one piece of its end token."""
     return packing.pack(docs, vocabulary_path())
 
 
