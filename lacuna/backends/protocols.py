@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from lacuna.functions.text import CLASSES
+
 
 class Aligner(Protocol):
     def word_times(self, text: str, duration: float) -> list[tuple[str, float, float]] | None: ...
@@ -48,8 +51,6 @@ class HashTagger:
     """A slot and class by hash of the text."""
 
     def choose(self, marked, slots, attempt):
-        from lacuna.functions.text import CLASSES
-
         h = int(hashlib.sha256(f"{marked}\0{attempt}".encode()).hexdigest()[:13], 16)
         return json.dumps({"slot": h % slots + 1 if slots else None, "tag": CLASSES[h // 7 % len(CLASSES)]})
 
@@ -82,6 +83,19 @@ class SpectrumEncoder:
         return float(u @ v / max(np.linalg.norm(u) * np.linalg.norm(v), 1e-12))
 
 
+def usable(reply: str, slots: int) -> bool:
+    """Whether a reply needs no other attempt: a slot from 1 to slots with a known class, or no slot (the model declines)."""
+    found = re.search(r"\{.*\}", reply or "", re.S)
+    try:
+        answer = json.loads(found[0]) if found else None
+    except ValueError:
+        return False
+    if not isinstance(answer, dict):
+        return False
+    slot, tag = answer.get("slot"), str(answer.get("tag")).strip().strip("[]").strip().lower()
+    return slot is None or (type(slot) is int and 1 <= slot <= slots and tag in CLASSES)
+
+
 def choose_slots(rows: DataFrame, tagger: Tagger, retries: int = 2) -> DataFrame:
     """(id, reply, attempts) of rows (id, marked, slots) that offer a slot; a model's error is an empty reply, not a failed job."""
 
@@ -93,7 +107,7 @@ def choose_slots(rows: DataFrame, tagger: Tagger, retries: int = 2) -> DataFrame
                 for k in range(1, retries + 2):
                     try:
                         reply = tagger.choose(marked, int(n), k)
-                        if "{" in reply:
+                        if usable(reply, int(n)):
                             break
                     except Exception:  # the next attempt may do
                         reply = ""

@@ -76,7 +76,14 @@ def aligner_token(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, r"[^\p{L}\p{N}']", ""))
 
 
+@F.pandas_udf(StringType())
+def composed(texts: pd.Series) -> pd.Series:
+    """Unicode's composed form (NFC), which Spark doesn't have."""
+    return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+
+
 def clean_word(word: Column) -> Column:
+    """A word of a composed text without the signs at its ends."""
     return F.btrim(word, F.lit(SIGNS))
 
 
@@ -108,6 +115,7 @@ def slot_choice(reply: Column, n: Column) -> Column:
 
 def words_around(text: Column) -> Column:
     """struct(before, after): cleaned words on either side of the first tag; null where there is no tag or a side is empty."""
+    text = composed(text)
     at = F.regexp_instr(text, F.lit(TAG))
     tag = F.regexp_extract(text, TAG, 0)
     clean = lambda s: F.filter(F.transform(tokens(s), clean_word), lambda w: w != "")
@@ -139,3 +147,32 @@ def version_at_least(version: Column, least: Column) -> Column:
     """Dotted versions compared number by number."""
     numbers = lambda v: F.transform(F.split(v, r"\."), lambda x: F.coalesce(F.regexp_extract(x, "^[0-9]+", 0).try_cast("int"), F.lit(0)))
     return numbers(version) >= numbers(least)
+
+
+def tail(text: Column, n: int) -> Column:
+    """The last n characters."""
+    return F.right(text, F.lit(n))
+
+
+def base64_body(content: Column) -> Column:
+    """Base64 in one line, as requests to models carry it; Spark breaks it into lines."""
+    return F.translate(F.base64(content), "\r\n", "")
+
+
+def filled(template: str, **values: Column) -> Column:
+    """The template with each {name} replaced; a value's own braces stay as they are."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[values[p].cast("string") if i % 2 else F.lit(p) for i, p in enumerate(parts)])
+
+
+def by_class(kind: Column, table: dict[str, float], override: dict[str, float], default: float) -> Column:
+    """A class's value: what override has, else the table, else the default."""
+    known = {**table, **override}
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in (kv[0], float(kv[1]))]), kind), F.lit(float(default)))
+
+
+def even_words(text: Column, seconds: Column) -> Column:
+    """array of struct(text, start, stop): words in equal shares of the time, with gaps between them; null without words."""
+    words = tokens(text)
+    step = seconds / F.size(words)
+    return F.when(F.size(words) > 0, F.transform(words, lambda w, i: F.struct(w.alias("text"), ((i + 0.15) * step).alias("start"), ((i + 0.85) * step).alias("stop"))))

@@ -74,14 +74,14 @@ def exponential_fade(x, n: int, out: bool, k: float = 5.0) -> np.ndarray:
 
 
 def room_tone(n: int, speech, rate: int, phase: float, window_s: float = 0.1) -> np.ndarray:
-    """n samples of the quietest window, tiled over a cross-faded seam from a phase (0-1); without one, faint noise by the phase."""
+    """n samples of the quietest window, tiled over a cross-faded seam from a phase (0-1); shorter than eight samples, noise of its level by the phase."""
     speech = np.asarray(speech, np.float64)
     win = min(len(speech), int(window_s * rate))
     if win < 8:
-        return np.random.default_rng(int(phase * 2**32)).normal(0, max(rms(speech), 1e-6) * 0.1, n)
+        return np.random.default_rng(int(phase * 2**32)).normal(0, max(rms(speech), 1e-5), n)
     levels = frame_levels(speech, win, max(1, win // 2))
     at = int(levels.argmin()) * max(1, win // 2)
-    tone, seam = speech[at : at + win].copy(), max(1, win // 4)
+    tone, seam = speech[at : at + win].copy(), max(1, win // 8)
     ramp = np.linspace(0, 1, seam)
     loop = tone[: win - seam]
     loop[:seam] = loop[:seam] * ramp + tone[win - seam :] * (1 - ramp)
@@ -89,7 +89,7 @@ def room_tone(n: int, speech, rate: int, phase: float, window_s: float = 0.1) ->
 
 
 def level_gain(insert, speech, rate: int, at: int, gain_db: float, offset_db: float, context_s: float = 2.5, headroom: float = 1.5) -> float:
-    """What the insert is multiplied by: to the level of the speech before the cut, within its 99.9th percentile times the headroom."""
+    """What the insert is multiplied by: to the level of the speech before the cut, within the 99.9th percentile of all the speech times the headroom."""
     insert, speech = np.asarray(insert, np.float64), np.asarray(speech, np.float64)
     context = speech[max(0, at - int(context_s * rate)) : at]
     context = context if rms(context) > 0 else speech
@@ -97,25 +97,36 @@ def level_gain(insert, speech, rate: int, at: int, gain_db: float, offset_db: fl
     if now <= 0 or rms(context) <= 0:
         return 1.0
     gain = rms(context) / now * 10 ** ((gain_db + offset_db) / 20)
-    peak, ceiling = np.abs(insert).max(), np.percentile(np.abs(context), 99.9) * headroom
+    peak, ceiling = np.abs(insert).max(), np.percentile(np.abs(speech), 99.9) * headroom
     return float(min(gain, ceiling / peak) if peak > 0 and ceiling > 0 else gain)
 
 
-def splice(speech, insert, rate: int, at_s: float, pad: tuple[int, int], phase: float, fade_s: float = 0.02, adaptive: bool = False, active: float = 0.2) -> np.ndarray:
-    """speech cut at at_s (towards zero), with the insert between room tone; edges fade, in the adaptive mode only where speech is active."""
+def splice(speech, insert, rate: int, at_s: float, pad: tuple[int, int], phase: float, fade_s: float = 0.02) -> np.ndarray:
+    """speech cut at at_s (towards zero), with the insert between room tone; all edges fade."""
     speech, insert = np.asarray(speech, np.float64), np.asarray(insert, np.float64)
     cut, fade = min(max(0, int(at_s * rate)), len(speech)), int(fade_s * rate)
-    left, right, win = speech[:cut], speech[cut:], int(0.05 * rate)
-    busy = lambda edge, side: rms(side) > 0 and rms(edge) / rms(side) > active
-    if not adaptive or busy(left[-win:], left):
-        left = exponential_fade(left, fade, True)
-    if not adaptive or busy(right[:win], right):
-        right = exponential_fade(right, fade, False)
+    left, right = exponential_fade(speech[:cut], fade, True), exponential_fade(speech[cut:], fade, False)
     body = exponential_fade(exponential_fade(insert, fade, False), fade, True)
     tone = [room_tone(n, speech, rate, phase) if n else np.zeros(0) for n in pad]
     return np.concatenate([left, tone[0], body, tone[1], right])
 
 
+def adaptive_splice(speech, insert, rate: int, at_s: float, phase: float, fade_s: float, min_pad_s: float, max_gap_s: float, active: float = 0.2) -> np.ndarray:
+    """speech cut at at_s with the insert between room tone: edges with sound right at the cut fade by a half cosine, and the
+    gap behind such an edge is the wide one."""
+    speech, insert = np.asarray(speech, np.float64), np.asarray(insert, np.float64)
+    cut, fade = min(max(0, int(at_s * rate)), len(speech)), int(fade_s * rate)
+    left, right = speech[:cut], speech[cut:]
+    busy = lambda edge, side: rms(side) > 0 and rms(edge) / rms(side) > active
+    last = lambda x: x[len(x) - min(fade, len(x)) :]
+    before, head, tail, after = busy(last(left), left), busy(insert[:fade], insert), busy(last(insert), insert), busy(right[:fade], right)
+    left, right = cosine_fade(left, fade, True) if before else left, cosine_fade(right, fade, False) if after else right
+    insert = cosine_fade(insert, fade, False) if head else insert
+    insert = cosine_fade(insert, fade, True) if tail else insert
+    tone = [room_tone(n, speech, rate, phase) if (n := int((max_gap_s if wide else min_pad_s) * rate)) else np.zeros(0) for wide in (before, tail)]
+    return np.concatenate([left, tone[0], insert, tone[1], right])
+
+
 def normalised(x, peak: float = 0.95) -> np.ndarray:
     x = np.asarray(x, np.float64)
     return x / (np.abs(x).max(initial=0) + 1e-9) * peak

@@ -22,6 +22,16 @@ def boundary_rule(before: Column, after: Column, limit: float | None) -> Column:
     return F.lit(None).cast("boolean") if limit is None else F.greatest(before, after) > limit
 
 
+def usable(peak: Column, duration: Column) -> Column:
+    """Clips loud and long enough to be heard; both limits are strict."""
+    return (peak > 0.05) & (duration > 0.35)
+
+
+def not_better(converted: Column, baseline: Column) -> Column:
+    """The warning that a converted voice is no more like the speaker than the unconverted one; null scores don't warn."""
+    return F.coalesce(converted <= baseline, F.lit(False))
+
+
 def side(before: Column, after: Column) -> Column:
     return F.when(before >= after, "before").otherwise("after")
 
@@ -36,3 +46,8 @@ def cosine(a: Column, b: Column) -> Column:
 def gap_budget(pause: Column, scale: float, shape: Column, existing: Column, rate: int) -> Column:
     """Samples of silence still to add: what the pause is scaled to, less what is there; cut towards zero, never negative."""
     return F.greatest(F.lit(0), ((pause * scale * shape - existing) * rate).cast("long"))
+
+
+def over_cap(seconds: Column, most: float = 150.0) -> Column:
+    """Recordings longer than a model takes."""
+    return seconds > most

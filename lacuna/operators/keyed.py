@@ -56,3 +56,19 @@ def first_by(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 
 def count_if(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
+
+
+def others(values: Column, *known: str) -> Column:
+    """A map without the keys that have columns of their own."""
+    return F.map_filter(values, lambda k, _: ~k.isin(*known))
+
+
+def latest_since(rows: DataFrame, group: str, item: str, changed: Column, start: Column, slack) -> DataFrame:
+    """(group, item): what changed last in each group, of what changed since the start less the slack; the greatest item of equal ones."""
+    return rows.where(changed >= start - slack).groupBy(group).agg(F.max_by(F.col(item), F.struct(changed.alias("c"), F.col(item))).alias(item))
+
+
+def array_or_empty(rows: DataFrame, table: DataFrame, key: str, column: str) -> DataFrame:
+    """rows with the table's array by key, empty where it has none."""
+    j = rows.join(table.select(key, column), key, "left")
+    return j.withColumn(column, F.coalesce(column, F.array().cast(table.schema[column].dataType)))

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lacuna.operators.arrays import once
+
 #: The widths of the axes' scales.
 INTENSITY_TOLERANCE, CLARITY_TOLERANCE_DB, TILT_TOLERANCE_DB, TEMPO_TOLERANCE_OCTAVES = 0.35, 12.0, 12.0, 1.0
 
@@ -28,22 +32,99 @@ def gaussian(mean: Column, spread: float, *keys) -> Column:
     return F.least(F.greatest(mean + spread * z, F.lit(0.0)), F.lit(1.0))
 
 
+def distances(intensity: tuple, clarity: tuple, tilt: tuple, tempo: tuple, has_tempo: Column) -> Column:
+    """struct(intensity, clarity, tilt, tempo): how far a clip is from what is asked on each axis, in widths of its scale; tempo only where it counts."""
+    apart = lambda pair, width: F.abs(pair[0] - pair[1]) / width
+    return F.struct(
+        apart(intensity, INTENSITY_TOLERANCE).alias("intensity"), apart(clarity, CLARITY_TOLERANCE_DB).alias("clarity"), apart(tilt, TILT_TOLERANCE_DB).alias("tilt"),
+        F.when(has_tempo, octaves(*tempo)).alias("tempo"))
+
+
+def clean_pool(rows: DataFrame, group: str, clipping: Column, most: float) -> DataFrame:
+    """Rows clipped no more than `most` (null: not clipped); all of a group that has no such row."""
+    clean = F.coalesce(clipping, F.lit(0.0)) <= most
+    any_clean = rows.groupBy(F.col(group).alias("__group")).agg(F.max(clean).alias("__any"))
+    return rows.join(any_clean, F.col(group).eqNullSafe(F.col("__group"))).where(clean | ~F.col("__any")).drop("__group", "__any")
+
+
+def first_usable(rows: DataFrame, group: str, item: str, usable: Column, tries: int, seed: str) -> DataFrame:
+    """One usable row of each group among the first `tries` of a keyed draw; none where those are all unusable."""
+    drawn = sample(rows.withColumn("__usable", usable), group, item, tries, seed).where("__usable")
+    return drawn.groupBy(group).agg(F.min_by(F.col(item), F.col("draw")).alias(item), F.min("draw").alias("draw"))
+
+
 def race(u: Column, cost: Column) -> Column:
     """The least of these over candidates is a draw with weight exp(-cost)."""
     return F.log(-F.log(u)) + cost
 
 
-def weighted_pick(rows: DataFrame, clips: DataFrame, kind: str, row_id: str, clip_id: str, cost: Column, seed: str) -> DataFrame:
-    """(row_id, picked, cost): one clip of the row's kind for each row, drawn with weight exp(-cost).
-
-    The draw is an exponential race: a partial aggregate that keeps one candidate for each row, so that no
-    row's candidates are sorted or collected."""
-    j = rows.join(clips, kind)
+@dataclass(frozen=True)
+class Axis:
+    """A part of the cost, per_unit * |clip - row|, by which clips are dealt into cells: `cells` of them, `width` wide, the
+    first from `low` on; values beyond either end are in the outermost ones. Nulls are in a cell of their own."""
+
+    clip: Column
+    row: Column
+    per_unit: float
+    low: float
+    width: float
+    cells: int
+
+    def cell(self) -> Column:
+        return F.coalesce(F.least(F.greatest(F.floor((self.clip - self.low) / self.width), F.lit(0)), F.lit(self.cells - 1)).cast("int"), F.lit(-1))
+
+    def edges(self, cell: Column) -> tuple[Column, Column]:
+        """Between which values the cell's clips are."""
+        far = F.lit(float("inf"))
+        return F.when(cell > 0, self.low + cell * self.width).otherwise(-far), F.when(cell.between(0, self.cells - 2), self.low + (cell + 1) * self.width).otherwise(far)
+
+
+def weighted_pick(rows: DataFrame, clips: DataFrame, kind: str, row_id: str, clip_id: str, cost: Column, seed: str, axes: list[Axis], attempts: int = 8) -> DataFrame:
+    """(row_id, picked, cost): one clip of the row's kind for each row, drawn with weight exp(-cost); rows of a kind without clips are left out.
+
+    A row doesn't meet the clips but the cells they are dealt into (axes; their number is bounded whatever that of the clips): a cell is drawn by its size and the
+    most that a clip in it can weigh, a clip in it evenly, and it is taken with the chance that makes the weights exact. The first
+    attempt that takes one decides; the few rows that took none race through all clips of their kind, which has the same weights. Cost has to be at least the sum of the axes' parts."""
+    names = [f"__c{k}" for k in range(len(axes))]
+    w = Window.partitionBy(kind, *names)
+    dealt = clips.withColumns({n: a.cell() for n, a in zip(names, axes)})
+    dealt = dealt.withColumn("__pos", F.row_number().over(w.orderBy(clip_id)) - 1)
+    sizes = dealt.groupBy(kind, *names).agg(F.count("*").alias("n"))
+    sides = [c.alias(f"{s}{k}") for k, (n, a) in enumerate(zip(names, axes)) for s, c in zip(("lo", "hi"), a.edges(F.col(n)))]
+    grid = sizes.groupBy(kind).agg(F.sort_array(F.collect_list(F.struct(*names, "n", *sides))).alias("__cells"))
+    # the least that a clip of the cell can cost the row; a row without a value on an axis has no bound there
+    bound = lambda c: reduce(lambda x, y: x + y, [F.coalesce(F.greatest(c[f"lo{k}"] - F.col(f"__t{k}"), F.col(f"__t{k}") - c[f"hi{k}"], F.lit(0.0)), F.lit(0.0)) * a.per_unit for k, a in enumerate(axes)], F.lit(0.0))
+    weigh = lambda cells: F.transform(cells, lambda c: c["n"] * F.exp(-bound(c)))
+    summed = F.aggregate(weigh(F.col("__cells")), F.array().cast("array<double>"), lambda done, x: F.concat(done, F.array(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0.0)) + x)))
+    # rows are dealt by id, as the aggregate needs them; with the number given, as small partitions are much work here
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = rows.repartition(parts, row_id).withColumns({f"__t{k}": a.row for k, a in enumerate(axes)}).join(grid, kind).withColumn("__sums", summed)
+    drawn = asked.withColumn("__a", F.explode(F.sequence(F.lit(1), F.lit(attempts))))
+    u = lambda what: uniform(F.lit(seed), F.col(row_id), F.col("__a"), F.lit(what))
+    # the first cell at which the running sum reaches the goal; the last where rounding leaves it short
+    place = lambda goal: F.least(F.size(F.filter("__sums", lambda x: x < goal)), F.size("__sums") - 1)
+    # explode and inline also keep Catalyst from repeating what is below them in the filters that it infers from the join
+    drawn = drawn.withColumn("__cell", F.explode(F.slice("__cells", once(u("cell") * F.element_at("__sums", -1), place) + 1, 1)))
+    c = F.col("__cell")
+    drawn = drawn.select(*rows.columns, "__a", F.inline(F.array(F.struct(*[c[n].alias(n) for n in names], F.floor(u("clip") * c["n"]).cast("int").alias("__pos"), bound(c).alias("__bound"), u("take").alias("__u")))))
+    met = drawn.join(dealt, [kind, *names, "__pos"])
+    took = F.when(F.col("__u") < F.exp(F.col("__bound") - cost), F.col("__a"))
+    best = met.groupBy(row_id).agg(F.min_by(F.struct(F.col(clip_id).alias("picked"), cost.alias("cost")), took).alias("__p"), F.first(F.struct(*rows.columns)).alias("__row"))
+    # rows that took none race through all clips; the others have keys of their own, which no clip has, so that they don't meet in one task
+    lost = F.when(F.col("__p").isNull(), F.concat(F.lit("="), F.col(f"__row.{kind}").cast("string"))).otherwise(F.xxhash64(row_id).cast("string"))
+    rest = best.select("__p", "__row.*", lost.alias("__key")).join(clips.withColumn("__key", F.concat(F.lit("="), F.col(kind).cast("string"))).drop(kind), "__key", "left")
     key = race(uniform(F.lit(seed), F.col(row_id), F.col(clip_id)), cost)
-    return j.groupBy(row_id).agg(F.min_by(F.struct(F.col(clip_id).alias("picked"), cost.alias("cost")), F.struct(key.alias("k"), F.col(clip_id))).alias("p")).select(row_id, "p.*")
-
-
-def sample(rows: DataFrame, group: str, item: str, n: int, seed: str) -> DataFrame:
-    """n rows of each group without replacement, by keyed hash."""
-    w = Window.partitionBy(group).orderBy(uniform(F.lit(seed), F.col(group), F.col(item)), item)
-    return rows.withColumn("draw", F.row_number().over(w)).where(F.col("draw") <= n)
+    found = F.coalesce(F.first("__p"), F.min_by(F.struct(F.col(clip_id).alias("picked"), cost.alias("cost")), F.struct(key.alias("k"), F.col(clip_id))))
+    return rest.groupBy(row_id).agg(found.alias("p")).select(row_id, "p.*")
+
+
+def sample(rows: DataFrame, group: str, item: str, n: int, seed: str, parts: int = 64) -> DataFrame:
+    """n rows of each group without replacement, by keyed hash. Groups are cut to n in `parts` of each first, so that a large one doesn't meet in a task."""
+    u = uniform(F.lit(seed), F.col(group), F.col(item))
+    rows = rows.withColumn("__u", u).withColumn("__part", F.floor(F.col("__u") * parts))
+    # the draws of a part are all below those of the next: what is before it counts
+    sizes = rows.groupBy(group, "__part").agg(F.count("*").alias("__n"))
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where(F.col("__before") < n)
+    near = rows.join(sizes.select(F.col(group).alias("__g"), F.col("__part").alias("__p"), "__before"), F.col(group).eqNullSafe(F.col("__g")) & (F.col("__part") == F.col("__p")))
+    w = Window.partitionBy(group, "__part").orderBy("__u", item)
+    return near.withColumn("draw", (F.row_number().over(w) + F.col("__before")).cast("int")).where(F.col("draw") <= n).drop("__u", "__part", "__g", "__p", "__before")

@@ -98,10 +98,12 @@ def tilt_db(frame_rows: DataFrame, key: str) -> DataFrame:
 
 
 def peak_rate(frame_rows: DataFrame, key: str, threshold: float, min_gap: int, frames_a_second: float) -> DataFrame:
-    """(key, peaks, rate): local maxima of the level at the threshold's share of the loudest, kept greedily min_gap frames apart."""
+    """(key, peaks, rate): local maxima of the level (the last frame of a plateau) from the threshold's share of the loudest, kept greedily min_gap frames apart.
+
+    A key's series is one window: a recording has to fit a task, as all operators on series here require."""
     w, all_ = Window.partitionBy(key).orderBy("k"), Window.partitionBy(key)
     rows = frame_rows.withColumn("prev", F.lag("rms").over(w)).withColumn("next", F.lead("rms").over(w)).withColumn("top", F.max("rms").over(all_))
-    peak = (F.col("rms") > F.col("prev")) & (F.col("rms") >= F.col("next")) & (F.col("rms") > F.col("top") * threshold)
+    peak = (F.col("rms") >= F.col("prev")) & (F.col("rms") > F.col("next")) & (F.col("rms") / (F.col("top") + 1e-9) >= threshold)
     found = rows.groupBy(key).agg(F.count("*").alias("m"), F.sort_array(F.collect_list(F.when(peak, F.col("k")))).alias("ks"))
     start = F.struct(F.lit(0).alias("n"), F.lit(-(10**9)).alias("last"))
     fold = F.aggregate("ks", start, lambda s, k: F.when(k - s["last"] >= min_gap, F.struct((s["n"] + 1).alias("n"), k.alias("last"))).otherwise(s), lambda s: s["n"])
@@ -120,3 +122,27 @@ def level_features(series: DataFrame, key: str, rate: float) -> DataFrame:
     peak = F.max(F.abs("x"))
     return series.groupBy(key).agg(
         peak.alias("peak"), (F.sqrt(F.avg(F.col("x") * F.col("x"))) / (peak + 1e-9)).alias("level"), (F.count("*") / rate).alias("duration"), F.avg((F.abs("x") >= 0.999).cast("int")).alias("clipping"))
+
+
+def energy_regions(frame_rows: DataFrame, key: str, top_db: float, win: int, hop: int, gap: float, least: float) -> DataFrame:
+    """(key, lo, hi) in values: loud runs of frames, joined where less than gap lies between, of at least `least`."""
+    runs = islands(frame_rows, key, top_db).select(key, (F.col("first") * float(hop)).alias("lo"), (F.col("last") * float(hop) + win).alias("hi"))
+    return merge_close(runs, key, gap).where(F.col("hi") - F.col("lo") >= least)
+
+
+def sample_index(seconds: Column, rate: float, n: Column) -> Column:
+    """A time's place among n values: cut towards zero, within 0-n."""
+    return F.least(F.greatest((seconds * rate).cast("long"), F.lit(0)), n).cast("long")
+
+
+def spread(value: str, width: float) -> Column:
+    """From the 10th to the 90th percentile in widths of an axis."""
+    p = F.percentile(value, F.array(F.lit(0.1), F.lit(0.9)))
+    return (p[1] - p[0]) / width
+
+
+def least_squares(rows: DataFrame, y: Column, a: Column, b: Column) -> DataFrame:
+    """One row (slope_a, slope_b, const, residual): y by two axes and a constant, from moments of one pass; residual is the deviation that is left."""
+    m = rows.agg(F.covar_pop(a, y).alias("ay"), F.covar_pop(b, y).alias("by"), F.covar_pop(a, b).alias("ab"), F.var_pop(a).alias("aa"), F.var_pop(b).alias("bb"), F.var_pop(y).alias("yy"), F.avg(y).alias("y"), F.avg(a).alias("a"), F.avg(b).alias("b"))
+    m = m.withColumn("slope_a", F.expr("(ay * bb - by * ab) / (aa * bb - ab * ab)")).withColumn("slope_b", F.expr("(by * aa - ay * ab) / (aa * bb - ab * ab)"))
+    return m.select("slope_a", "slope_b", F.expr("y - slope_a * a - slope_b * b").alias("const"), F.expr("sqrt(greatest(yy - slope_a * ay - slope_b * by, 0))").alias("residual"))

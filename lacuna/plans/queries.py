@@ -50,17 +50,10 @@ def resume_done(spark, d):
     return keyed.finished(table(spark, d, "documents").select("doc_id", "source"), table(spark, d, "labels"), evidence, "doc_id")
 
 
-@query("""WITH fresh AS (SELECT doc_id, 1 - quality AS quality, 2 AS version FROM labels WHERE doc_id % 3 = 0),
-cached AS (SELECT doc_id, quality, 1 AS version FROM labels WHERE doc_id % 2 = 0)
+@query("""WITH fresh AS (SELECT doc_id, 1 - quality AS quality, 2 AS version FROM labels WHERE toxic = 1),
+cached AS (SELECT doc_id, quality, 1 AS version FROM labels)
 SELECT * FROM fresh UNION ALL SELECT * FROM cached WHERE doc_id NOT IN (SELECT doc_id FROM fresh)""")
 def upsert_by_id(spark, d):
-    labels = table(spark, d, "labels")
-    fresh = labels.where("doc_id % 3 = 0").select("doc_id", (1 - F.col("quality")).alias("quality"), F.lit(2).alias("version"))
-    return keyed.upsert(labels.where("doc_id % 2 = 0").select("doc_id", "quality", F.lit(1).alias("version")), fresh, "doc_id")
-
-
-@query()
-def upsert_by_id_whole(spark, d):
     """Every label is cached; those of toxic texts come anew."""
     labels = table(spark, d, "labels")
     fresh = labels.where("toxic = 1").select("doc_id", (1 - F.col("quality")).alias("quality"), F.lit(2).alias("version"))
@@ -232,7 +225,7 @@ def envelope_tilt(spark, d):
 
 
 @query(f"""WITH RECURSIVE {FRAMES}, nb AS (SELECT user_id, k, rms, lag(rms) OVER w AS p, lead(rms) OVER w AS q, max(rms) OVER (PARTITION BY user_id) AS top, count(*) OVER (PARTITION BY user_id) AS m FROM frames WINDOW w AS (PARTITION BY user_id ORDER BY k)),
-pk AS (SELECT user_id, k FROM nb WHERE rms > p AND rms >= q AND rms > top * 0.25),
+pk AS (SELECT user_id, k FROM nb WHERE rms >= p AND rms > q AND rms / (top + 1e-9) >= 0.25),
 kept(user_id, k) AS (SELECT user_id, min(k) FROM pk GROUP BY user_id UNION ALL
   SELECT user_id, k FROM (SELECT pk.user_id, pk.k, row_number() OVER (PARTITION BY pk.user_id ORDER BY pk.k) AS r FROM kept JOIN pk ON pk.user_id = kept.user_id AND pk.k >= kept.k + 6) WHERE r = 1),
 c AS (SELECT user_id, count(*) AS n FROM kept GROUP BY user_id), u AS (SELECT user_id, max(m) AS m FROM nb GROUP BY user_id)
@@ -256,9 +249,9 @@ SELECT round(b1, 3) AS slope_a, round(b2, 3) AS slope_b, round(y - b1 * q - b2 *
 @query(_OLS)
 def axis_ols(spark, d):
     q, x, y = F.col("l_quantity"), F.col("l_discount"), F.col("l_extendedprice")
-    m = table(spark, d, "lineitem").agg(F.covar_pop(q, y).alias("qy"), F.covar_pop(x, y).alias("dy"), F.covar_pop(q, x).alias("qd"), F.var_pop(q).alias("qq"), F.var_pop(x).alias("dd"), F.avg(y).alias("y"), F.avg(q).alias("q"), F.avg(x).alias("d"), F.corr(q, y).alias("r"))
-    m = m.withColumn("b1", F.expr("(qy * dd - dy * qd) / (qq * dd - qd * qd)")).withColumn("b2", F.expr("(dy * qq - qy * qd) / (qq * dd - qd * qd)"))
-    return m.select(F.round("b1", 3).alias("slope_a"), F.round("b2", 3).alias("slope_b"), F.round(F.expr("y - b1 * q - b2 * d"), 3).alias("const"), F.round("r", 6).alias("r"))
+    rows = table(spark, d, "lineitem")
+    fit = series.least_squares(rows, y, q, x).join(F.broadcast(rows.agg(F.corr(q, y).alias("r"))))  # one row is broadcast
+    return fit.select(*[F.round(c, 3).alias(c) for c in ("slope_a", "slope_b", "const")], F.round("r", 6).alias("r"))
 
 
 @query(f"""WITH {FRAMES}, c AS (SELECT user_id, sqrt(avg(x * x)) AS ctx FROM sig WHERE i >= n // 2 - {WIN} AND i < n // 2 GROUP BY user_id)
@@ -330,24 +323,14 @@ def tokens(spark, d):
     return table(spark, d, "documents").select("doc_id", F.size(T.tokens(F.col("text"))).alias("n_tokens"), F.length(T.aligner_token(F.col("text"))).alias("n_letters"))
 
 
-@query(r"""WITH p AS (SELECT doc_id, unnest(regexp_extract_all(text[1:300], '\s*\S+')) AS s, unnest(range(1, len(regexp_extract_all(text[1:300], '\s*\S+')) + 1)) AS i FROM documents),
+@query(r"""WITH p AS (SELECT doc_id, unnest(regexp_extract_all(text, '\s*\S+')) AS s, unnest(range(1, len(regexp_extract_all(text, '\s*\S+')) + 1)) AS i FROM documents),
 e AS (SELECT doc_id, i, regexp_replace(s, '^\s+', '') AS token, sum(len(s)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM p)
 SELECT doc_id, token, CAST(stop - len(token) AS INT) AS start, CAST(stop AS INT) AS stop FROM e""")
 def token_spans(spark, d):
-    return span_rows(table(spark, d, "documents").withColumn("text", F.substring("text", 1, 300)))
-
-
-def span_rows(docs):
-    rows = docs.select("doc_id", F.explode(T.token_spans(F.col("text"))).alias("t"))
+    rows = table(spark, d, "documents").select("doc_id", F.explode(T.token_spans(F.col("text"))).alias("t"))
     return rows.select("doc_id", F.col("t.text").alias("token"), F.col("t.start").alias("start"), F.col("t.end").alias("stop"))
 
 
-@query()
-def token_spans_whole(spark, d):
-    """token_spans without the cut of its SQL."""
-    return span_rows(table(spark, d, "documents"))
-
-
 TAGGED = "tagged AS (SELECT conv_id, turn, text, text[1:5] || '[' || (CASE turn % 3 WHEN 0 THEN 'sigh' WHEN 1 THEN 'Cough' ELSE 'other' END) || '] ' || text[6:] AS tagged FROM conversations)"
 
 
@@ -368,7 +351,7 @@ def verify_single_tag(spark, d):
 
 
 @query(rf"""WITH {TAGGED}, s AS (SELECT conv_id, turn, text[1:5] AS l, text[6:] AS r FROM tagged),
-w AS (SELECT conv_id, turn, list_filter(list_transform(regexp_extract_all(l, '\S+'), lambda x: trim(x, ',.!?;:"''()…')), lambda x: x <> '') AS b, list_filter(list_transform(regexp_extract_all(r, '\S+'), lambda x: trim(x, ',.!?;:"''()…')), lambda x: x <> '') AS a FROM s)
+w AS (SELECT conv_id, turn, list_filter(list_transform(regexp_extract_all(nfc_normalize(l), '\S+'), lambda x: trim(x, ',.!?;:"''()…')), lambda x: x <> '') AS b, list_filter(list_transform(regexp_extract_all(nfc_normalize(r), '\S+'), lambda x: trim(x, ',.!?;:"''()…')), lambda x: x <> '') AS a FROM s)
 SELECT conv_id, turn, CASE WHEN len(a) > 0 AND len(b) > 0 THEN b[len(b)] END AS before, CASE WHEN len(a) > 0 AND len(b) > 0 THEN a[1] END AS after FROM w""")
 def words_around_tag(spark, d):
     rows = tagged_rows(spark, d).select("conv_id", "turn", T.words_around(F.col("tagged")).alias("w"))
@@ -412,14 +395,8 @@ def parse_slot_choice(spark, d):
     return table(spark, d, "documents").select("doc_id", T.slot_choice(reply, F.lit(3)).alias("c")).select("doc_id", "c.*")
 
 
-@query("SELECT doc_id, replace(replace(strip_accents(text[1:200]), 'đ', 'd'), 'Đ', 'D') AS plain FROM documents")
+@query("SELECT doc_id, replace(replace(strip_accents(text), 'đ', 'd'), 'Đ', 'D') AS plain FROM documents")
 def deaccent(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.deaccent(F.substring("text", 1, 200)).alias("plain"))
-
-
-@query()
-def deaccent_whole(spark, d):
-    """deaccent without the cut of its SQL."""
     return table(spark, d, "documents").select("doc_id", T.deaccent(F.col("text")).alias("plain"))
 
 
@@ -446,7 +423,7 @@ U = "((CAST(('0x' || substr(sha256({}), 1, 13)) AS BIGINT) + 0.5) / 450359962737
 NUL = " || chr(0) || "
 CLIPS = """ranked AS (SELECT p_partkey, p_type, p_size, (row_number() OVER (PARTITION BY p_type ORDER BY p_retailprice, p_partkey) - 1) / CAST(greatest(count(*) OVER (PARTITION BY p_type) - 1, 1) AS DOUBLE) AS rank FROM part),
 types AS (SELECT p_type, row_number() OVER (ORDER BY p_type) - 1 AS n FROM (SELECT DISTINCT p_type FROM part)),
-need AS (SELECT o_orderkey, p_type, least(o_totalprice / 400000, 1) AS target, 1 + o_custkey % 50 AS tempo FROM orders JOIN types ON o_orderkey % 6 = n WHERE o_orderkey % 10 = 0)"""
+need AS (SELECT o_orderkey, p_type, least(o_totalprice / 400000, 1) AS target, 1 + o_custkey % 50 AS tempo FROM orders JOIN types ON o_orderkey % 6 = n)"""
 COST = "(abs(rank - target) / 0.35 + 1.0 * abs(log2(CAST(p_size AS DOUBLE) / tempo)))"
 
 
@@ -455,48 +432,48 @@ def clip_rows(spark, d):
     return series.position_ranks(part, "p_type", "p_retailprice", "p_partkey", "rank").drop("p_retailprice")
 
 
-def need_rows(spark, d, every=False):
-    """The orders that need a clip: every one, or those of the SQL."""
+def need_rows(spark, d):
     w = Window.orderBy("p_type")  # six classes
     types = table(spark, d, "part").select("p_type").distinct().select("p_type", (F.row_number().over(w) - 1).alias("n"))
-    o = table(spark, d, "orders") if every else table(spark, d, "orders").where("o_orderkey % 10 = 0")
-    o = o.select("o_orderkey", (F.col("o_orderkey") % 6).alias("n"), F.least(F.col("o_totalprice") / 400000, F.lit(1.0)).alias("target"), (1 + F.col("o_custkey") % 50).alias("tempo"))
-    return o.join(F.broadcast(types), "n").drop("n")
+    o = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 6).alias("n"), F.least(F.col("o_totalprice") / 400000, F.lit(1.0)).alias("target"), (1 + F.col("o_custkey") % 50).alias("tempo"))
+    return o.join(types, "n").drop("n")
 
 
 def clip_cost():
     return F.abs(F.col("rank") - F.col("target")) / select.INTENSITY_TOLERANCE + select.octaves(F.col("p_size").cast("double"), F.col("tempo"))
 
 
-@query(f"WITH {CLIPS} SELECT o_orderkey, p_partkey, round(exp(-{COST}), 6) AS weight FROM need JOIN ranked USING (p_type) WHERE o_orderkey % 500 = 0")
+@query(f"WITH {CLIPS} SELECT o_orderkey, p_partkey, round(exp(-{COST}), 6) AS weight FROM (SELECT need.*, l_partkey AS p_partkey FROM need JOIN lineitem ON l_orderkey = o_orderkey) JOIN (SELECT p_partkey, rank, p_size FROM ranked) USING (p_partkey)")
 def clip_weights(spark, d):
-    return weight_rows(need_rows(spark, d).where("o_orderkey % 500 = 0"), clip_rows(spark, d))
+    """What each order's own parts would weigh: a row for each line, not for each pair of an order and a clip."""
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"))
+    j = need_rows(spark, d).drop("p_type").join(lines, "o_orderkey").join(clip_rows(spark, d), "p_partkey")
+    return j.select("o_orderkey", "p_partkey", F.round(F.exp(-clip_cost()), 6).alias("weight"))
 
 
-def weight_rows(need, clips):
-    return need.join(clips, "p_type").select("o_orderkey", "p_partkey", F.round(F.exp(-clip_cost()), 6).alias("weight"))
+def _draw(what: str) -> str:
+    return U.format(f"'3'{NUL}CAST(o_orderkey AS VARCHAR){NUL}CAST(a AS VARCHAR){NUL}'{what}'")
 
 
-@query()
-def clip_weights_whole(spark, d):
-    """clip_weights of all orders."""
-    return weight_rows(need_rows(spark, d, True), clip_rows(spark, d))
+PICK = f"""{CLIPS}, dealt AS (SELECT *, CAST(least(greatest(floor(rank * 16), 0), 15) AS INT) AS c0, CAST(least(greatest(floor(log2(CAST(p_size AS DOUBLE)) / 0.5), 0), 11) AS INT) AS c1 FROM ranked),
+pos AS (SELECT *, row_number() OVER (PARTITION BY p_type, c0, c1 ORDER BY p_partkey) - 1 AS pos, count(*) OVER (PARTITION BY p_type, c0, c1) AS n FROM dealt),
+grid AS (SELECT DISTINCT p_type, c0, c1, n, CASE WHEN c0 > 0 THEN c0 / 16.0 ELSE -1e9 END AS lo0, CASE WHEN c0 < 15 THEN (c0 + 1) / 16.0 ELSE 1e9 END AS hi0,
+  CASE WHEN c1 > 0 THEN c1 * 0.5 ELSE -1e9 END AS lo1, CASE WHEN c1 < 11 THEN (c1 + 1) * 0.5 ELSE 1e9 END AS hi1 FROM pos),
+w AS (SELECT need.*, c0, c1, n, greatest(lo0 - target, target - hi0, 0) / 0.35 + greatest(lo1 - log2(CAST(tempo AS DOUBLE)), log2(CAST(tempo AS DOUBLE)) - hi1, 0) AS bound FROM need JOIN grid USING (p_type)),
+cum AS (SELECT *, sum(n * exp(-bound)) OVER (PARTITION BY o_orderkey ORDER BY c0, c1 ROWS UNBOUNDED PRECEDING) AS hi FROM w),
+cells AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY o_orderkey ORDER BY c0, c1), 0) AS lo, max(hi) OVER (PARTITION BY o_orderkey) AS total FROM cum),
+tries AS (SELECT o_orderkey, a, {_draw("cell")} AS u1, {_draw("clip")} AS u2, {_draw("take")} AS u3 FROM need, range(1, 9) t(a)),
+drawn AS (SELECT t.a, t.u2, t.u3, c.* FROM tries t JOIN cells c ON c.o_orderkey = t.o_orderkey AND c.lo < t.u1 * c.total AND c.hi >= t.u1 * c.total),
+met AS (SELECT d.o_orderkey, d.a, d.u3, d.bound, p.p_partkey, abs(p.rank - d.target) / 0.35 + abs(log2(CAST(p.p_size AS DOUBLE) / d.tempo)) AS cost FROM drawn d JOIN pos p ON p.p_type = d.p_type AND p.c0 = d.c0 AND p.c1 = d.c1 AND p.pos = floor(d.u2 * d.n)),
+best AS (SELECT o_orderkey, arg_min(p_partkey, a) AS picked, arg_min(cost, a) AS cost FROM met WHERE u3 < exp(bound - cost) GROUP BY o_orderkey),
+race AS (SELECT o_orderkey, p_partkey, {COST} AS cost, ln(-ln({U.format("'3'" + NUL + "CAST(o_orderkey AS VARCHAR)" + NUL + "CAST(p_partkey AS VARCHAR)")})) + {COST} AS k FROM need JOIN ranked USING (p_type) WHERE o_orderkey NOT IN (SELECT o_orderkey FROM best))
+"""
 
 
-@query(f"""WITH {CLIPS}, j AS (SELECT o_orderkey, p_partkey, {COST} AS cost, ln(-ln({U.format("'3'" + NUL + "CAST(o_orderkey AS VARCHAR)" + NUL + "CAST(p_partkey AS VARCHAR)")})) + {COST} AS k FROM need JOIN ranked USING (p_type)),
-b AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY k, p_partkey) AS r FROM j) SELECT o_orderkey, p_partkey AS picked, round(cost, 6) AS cost FROM b WHERE r = 1""")
+@query(f"WITH {PICK} SELECT o_orderkey, picked, round(cost, 6) AS cost FROM best UNION ALL SELECT o_orderkey, arg_min(p_partkey, k), round(arg_min(cost, k), 6) FROM race GROUP BY o_orderkey")
 def weighted_pick(spark, d):
-    return pick_rows(need_rows(spark, d), clip_rows(spark, d))
-
-
-def pick_rows(need, clips):
-    return select.weighted_pick(need, clips, "p_type", "o_orderkey", "p_partkey", clip_cost(), "3").withColumn("cost", F.round("cost", 6))
-
-
-@query()
-def weighted_pick_whole(spark, d):
-    """weighted_pick for all orders."""
-    return pick_rows(need_rows(spark, d, True), clip_rows(spark, d))
+    axes = [select.Axis(F.col("rank"), F.col("target"), 1 / select.INTENSITY_TOLERANCE, 0.0, 1 / 16, 16), select.Axis(F.log2(F.col("p_size").cast("double")), F.log2(F.col("tempo").cast("double")), 1.0, 0.0, 0.5, 12)]
+    return select.weighted_pick(need_rows(spark, d), clip_rows(spark, d), "p_type", "o_orderkey", "p_partkey", clip_cost(), "3", axes).withColumn("cost", F.round("cost", 6))
 
 
 @query(f"WITH u AS (SELECT p_partkey, p_type, row_number() OVER (PARTITION BY p_type ORDER BY {U.format("'5'" + NUL + "p_type" + NUL + "CAST(p_partkey AS VARCHAR)")}, p_partkey) AS draw FROM part) SELECT p_partkey, p_type, draw FROM u WHERE draw <= 48")
@@ -518,20 +495,18 @@ def cosine_similarity(spark, d):
     e = table(spark, d, "embeddings").select("vec_id", "label", "embedding")
     heads = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("head"))
     sim = F.round(gates.cosine(F.col("embedding"), F.col("head")), 6)
-    return e.join(F.broadcast(heads), "label").select("vec_id", sim.alias("similarity"), (sim <= 0.1).alias("below"))  # a row for each of ten labels
+    return e.join(heads, "label").select("vec_id", sim.alias("similarity"), (sim <= 0.1).alias("below"))
 
 
 MEASURES = BOUNDARY + """, halves AS (SELECT user_id, avg(CASE WHEN i < n // 2 THEN x END) AS src, avg(CASE WHEN i >= n // 2 THEN x END) AS fin FROM sig GROUP BY user_id),
-m AS (SELECT h.user_id, src, fin, before, after FROM halves h JOIN boundary b USING (user_id) WHERE h.user_id % 7 <> 0)"""
+m AS (SELECT h.user_id, src, fin, before, after FROM halves h JOIN boundary b USING (user_id))"""
 
 
-def measure_rows(spark, d, every=False):
-    """Measures of every user's series, or of those of the SQL."""
+def measure_rows(spark, d):
     s = signal(spark, d)
     half = F.floor(F.col("n") / 2)
     h = s.groupBy("user_id").agg(F.avg(F.when(F.col("i") < half, F.col("x"))).alias("src"), F.avg(F.when(F.col("i") >= half, F.col("x"))).alias("fin"))
-    m = h.join(boundary_rows(spark, d), "user_id")
-    return m if every else m.where("user_id % 7 <> 0")
+    return h.join(boundary_rows(spark, d), "user_id")
 
 
 def rules():
@@ -543,36 +518,16 @@ _RULES = "list_filter([CASE WHEN fin < 40 THEN 'level' END, CASE WHEN src - fin
 
 @query(f"WITH {MEASURES} SELECT user_id, array_to_string({_RULES}, ',') AS reasons, len({_RULES}) = 0 AS kept, CASE WHEN before >= after THEN 'before' ELSE 'after' END AS side FROM m")
 def gate_reasons(spark, d):
-    return reason_rows(measure_rows(spark, d))
-
-
-@query()
-def gate_reasons_whole(spark, d):
-    """gate_reasons of all users."""
-    return reason_rows(measure_rows(spark, d, True))
-
-
-def reason_rows(measures):
     why = gates.reasons(rules())
-    return measures.select("user_id", F.array_join(why, ",").alias("reasons"), (F.size(why) == 0).alias("kept"), gates.side(F.col("before"), F.col("after")).alias("side"))
+    return measure_rows(spark, d).select("user_id", F.array_join(why, ",").alias("reasons"), (F.size(why) == 0).alias("kept"), gates.side(F.col("before"), F.col("after")).alias("side"))
 
 
-@query(f"WITH {MEASURES}, u AS (SELECT DISTINCT user_id FROM events) SELECT u.user_id, round(m.fin, 6) AS fin FROM u LEFT JOIN m USING (user_id) WHERE m.user_id IS NULL OR len({_RULES}) = 0")
+@query(f"WITH {MEASURES}, u AS (SELECT user_id FROM events UNION SELECT c_custkey FROM customer) SELECT u.user_id, round(m.fin, 6) AS fin FROM u LEFT JOIN m USING (user_id) WHERE m.user_id IS NULL OR len({_RULES}) = 0")
 def gate_fail_open(spark, d):
-    return open_rows(table(spark, d, "events").select("user_id").distinct(), measure_rows(spark, d))
-
-
-def open_rows(users, measures):
-    m = measures.withColumn("failed", F.size(gates.reasons(rules())) > 0)
-    rows = users.join(m, "user_id", "left")
-    return rows.where("failed IS NULL OR NOT failed").select("user_id", F.round("fin", 6).alias("fin"))
-
-
-@query()
-def gate_fail_open_whole(spark, d):
-    """gate_fail_open of all users; those without measures are the customers and users without a series."""
+    """All customers and users; those without a series have no measures."""
     users = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")).union(table(spark, d, "events").select("user_id")).distinct()
-    return open_rows(users, measure_rows(spark, d, True))
+    rows = users.join(measure_rows(spark, d).withColumn("failed", F.size(gates.reasons(rules())) > 0), "user_id", "left")
+    return rows.where("failed IS NULL OR NOT failed").select("user_id", F.round("fin", 6).alias("fin"))
 
 
 @query(f"""WITH {REGIONS}, g AS (SELECT user_id, lead(lo) OVER (PARTITION BY user_id ORDER BY lo) - hi AS gap FROM regions),
@@ -605,15 +560,18 @@ def session_pauses(spark, d):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with a clip picked by weight, behind the quality gate of their customer's series."""
-    picked = weighted_pick_whole(spark, sf_dir)
-    gate = gate_reasons_whole(spark, sf_dir).select("user_id", "reasons", "kept")
+    picked = weighted_pick(spark, sf_dir)
+    gate = gate_reasons(spark, sf_dir).select("user_id", "reasons", "kept")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"))
     return picked.join(orders, "o_orderkey").join(gate, "user_id", "left").where("kept IS NULL OR kept")
 
 
 def queries() -> dict:
+    from lacuna.plans import stage_queries  # noqa: F401  registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

@@ -18,7 +18,9 @@ def run_stage(rows: DataFrame, path: str, schema: str, work: Callable[[DataFrame
     cached = read_stage(spark, path, schema)
     left = keyed.todo(rows, cached, key, force)
     left = left.orderBy(key).limit(limit) if limit else left
-    write_stage(keyed.upsert(cached, work(left), key), path)
+    fresh = path.rstrip("/") + ".fresh"
+    work(left).write.mode("overwrite").parquet(fresh)  # once: the upsert reads it twice, and work may hold a model
+    write_stage(keyed.upsert(cached, spark.read.parquet(fresh), key), path)
     return read_stage(spark, path, schema)
 
 

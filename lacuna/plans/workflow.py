@@ -77,7 +77,9 @@ def untagged_rows(spark: SparkSession, cfg) -> DataFrame:
 def all_rows(spark: SparkSession, cfg, tagged: bool = True) -> DataFrame:
     """(id, audio_filepath, text, extra): of the manifest if the settings name one, else of the folders."""
     if cfg.paths.manifest:
-        return manifest.read_manifest(spark, cfg.paths.manifest)
+        rows, missing = manifest.present(manifest.read_manifest(spark, cfg.paths.manifest))
+        missing.select("id", "audio_filepath", F.current_timestamp().alias("at")).write.mode("overwrite").json(f"{cfg.paths.stage_dir}/missing_audio")
+        return rows
     folder = cfg.paths.tagged_transcript_dir if tagged else cfg.paths.raw_transcript_dir
     return manifest.paired(manifest.listing(spark, cfg.paths.raw_audio_dir), manifest.transcripts(spark, folder))[0].withColumn("extra", F.lit(None).cast("string"))
 
@@ -167,23 +169,26 @@ def align(spark: SparkSession, cfg, models: Models, limit: int | None = None, fo
 def clip_table(spark: SparkSession, cfg) -> DataFrame:
     """(vs_class, name, path, six measures, intensity) of the usable clips, measured once; clipped ones only where a class has no others."""
     path = cfg.selection.feature_manifest or f"{cfg.paths.stage_dir}/clips.parquet"
-    if not manifest.exists(spark, path):
+    if not audio.current(spark, path):
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(cfg.paths.clip_dir)
-        audio.feature_table(files.where(F.lower("path").rlike(r"\.wav$"))).write.parquet(path)
-    rows = spark.read.parquet(path).where("error IS NULL AND duration > 0.35 AND crest > 0")
-    rows = rows.withColumn("vs_class", F.regexp_extract("name", r"_([a-z]+)\.[^.]+$", 1)).withColumn("clean", F.coalesce("clipping", F.lit(0.0)) <= cfg.selection.max_clipping)
-    rows = rows.withColumn("any_clean", F.max("clean").over(keyed.Window.partitionBy("vs_class"))).where("clean = any_clean").drop("clean", "any_clean")
+        audio.feature_table(files.where(F.lower("path").rlike(r"\.wav$"))).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path).where(F.col("error").isNull() & gates.usable(F.col("peak"), F.col("duration")))
+    rows = rows.withColumn("vs_class", manifest.clip_name(F.col("name"))["kind"])
+    rows = select.clean_pool(rows, "vs_class", F.col("clipping"), cfg.selection.max_clipping)
     ranked = series.position_ranks(series.position_ranks(rows, "vs_class", "crest", "name", "r1"), "vs_class", "duration", "name", "r2")
-    return ranked.withColumn("intensity", (F.col("r1") + F.col("r2")) / 2).drop("r1", "r2", "error")
+    return ranked.withColumn("intensity", (F.col("r1") + F.col("r2")) / 2).drop("r1", "r2", "error", "feature_version")
 
 
 def clip_cost(cfg) -> Column:
     s, c = cfg.selection, F.col
-    tempo = F.when(c("vs_class").isin(*TEMPO_CLASSES), select.octaves(c("rate_hz"), c("speaker_rate"))).otherwise(0.0)
-    return (
-        s.energy_weight * F.abs(c("intensity") - c("aim")) / select.INTENSITY_TOLERANCE + s.clarity_weight * F.abs(c("snr_db") - c("speaker_snr")) / select.CLARITY_TOLERANCE_DB
-        + s.tempo_weight * tempo + s.tilt_weight * F.abs(c("tilt_db") - c("speaker_tilt")) / select.TILT_TOLERANCE_DB
-    )
+    away = select.distances((c("intensity"), c("aim")), (c("snr_db"), c("speaker_snr")), (c("tilt_db"), c("speaker_tilt")), (c("rate_hz"), c("speaker_rate")), c("vs_class").isin(*TEMPO_CLASSES))
+    return s.energy_weight * away["intensity"] + s.clarity_weight * away["clarity"] + s.tilt_weight * away["tilt"] + s.tempo_weight * F.coalesce(away["tempo"], F.lit(0.0))
+
+
+def clip_axes(cfg) -> list[select.Axis]:
+    """The axes by which clips are dealt into cells: loudness ranks and clarity."""
+    s = cfg.selection
+    return [select.Axis(F.col("intensity"), F.col("aim"), s.energy_weight / select.INTENSITY_TOLERANCE, 0.0, 1 / 16, 16), select.Axis(F.col("snr_db"), F.col("speaker_snr"), s.clarity_weight / select.CLARITY_TOLERANCE_DB, 0.0, 6.0, 10)]
 
 
 def spliced(speech, event, rate: int, at_s: float, vs_class: str, phase: float, cfg) -> tuple[np.ndarray, float]:
@@ -201,8 +206,7 @@ def spliced(speech, event, rate: int, at_s: float, vs_class: str, phase: float,
         return dsp.splice(speech, event * gain, rate, at_s, pad, phase, fade), at_s
     gain = np.abs(speech).max(initial=0) / max(np.abs(event).max(initial=0), 1e-9) * 10 ** (p.para_gain_db / 20)
     if p.mode == "adaptive":
-        pad = tuple(int((p.max_gap_ms if level > 0.2 else p.min_pad_ms) / 1000 * rate) for level in voice.boundary(speech, rate, at_s))
-        return dsp.splice(speech, event * gain, rate, at_s, pad, phase, fade, adaptive=True), at_s
+        return dsp.adaptive_splice(speech, event * gain, rate, at_s, phase, fade, p.min_pad_ms / 1000, p.max_gap_ms / 1000), min(max(0, cut), len(speech)) / rate
     cut = {"before": 0, "after": len(speech)}.get(p.placement, min(max(0, cut), len(speech)))
     silence = np.zeros(int(p.pad_ms / 1000 * rate))
     body = event * gain * dsp.linear_envelope(len(event), int(fade * rate))
@@ -213,7 +217,9 @@ def synth(spark: SparkSession, cfg, models: Models, limit: int | None = None, fo
     """A recording with an event for each aligned row; a row is done if its entry and its file exist."""
     path, rate, seed = f"{cfg.paths.output_dir}/metadata_synth.jsonl", cfg.sample_rate, str(cfg.seed)
     cached, aligned = manifest.read_stage(spark, path, SYNTHESISED), manifest.read_stage(spark, f"{cfg.paths.stage_dir}/align.jsonl", ALIGNED)
-    rows = tagged_rows(spark, cfg, limit).join(aligned.select("id", "insert_at_s", "insert_stage"), "id")
+    tagged = tagged_rows(spark, cfg, limit)
+    rows = tagged.join(aligned.select("id", "insert_at_s", "insert_stage"), "id")
+    keyed.todo(tagged, aligned).select("id", F.current_timestamp().alias("at")).write.mode("overwrite").json(f"{cfg.paths.stage_dir}/not_aligned")
     if manifest.exists(spark, cfg.paths.output_dir):
         files = manifest.listing(spark, cfg.paths.output_dir).select(F.regexp_replace("id", "^para_", "").alias("id"))
         rows = rows if force else rows.join(keyed.finished(cached.select("id"), cached, files), "id", "left_anti")
@@ -239,7 +245,7 @@ def synth(spark: SparkSession, cfg, models: Models, limit: int | None = None, fo
         aim = select.gaussian(F.col("energy_rank"), s.intensity_spread, F.lit(seed), F.col("id"), F.lit("aim")) if s.intensity_spread > 0 else F.col("energy_rank")
         known = known.withColumn("aim", aim).withColumn("phase", select.uniform(F.lit(seed), F.col("id"), F.lit("phase")))
         need = known.select("id", "vs_class", "aim", "speaker_snr", "speaker_rate", "speaker_tilt")
-        picked = select.weighted_pick(need, clips, "vs_class", "id", "name", clip_cost(cfg), seed)
+        picked = select.weighted_pick(need, clips, "vs_class", "id", "name", clip_cost(cfg), seed, clip_axes(cfg))
         chosen = picked.join(clips.select(F.col("name").alias("picked"), F.col("path").alias("clip_path"), "intensity"), "picked").withColumnRenamed("picked", "vs_clip")
         jobs = known.join(chosen, "id").select("id", "audio_filepath", "text", "insert_at_s", "insert_stage", "nv_tag", "vs_class", "vs_clip", "clip_path", "intensity", "energy_rank", "cost", "phase")
         return done_well(per_row(jobs, render, SYNTHESISED), f"{cfg.paths.stage_dir}/synth")

@@ -12,7 +12,8 @@ TAGGED = "id string, tag string, slot_i int, insert_at_s double, pause_s double"
 ALIGNED = "id string, insert_at_s double, insert_stage string, insert_at_aligned_s double, vad_status string, vad_shift_s double, vad_pause_s double"
 SYNTHESISED = "id string, source_audio string, para_audio string, vs_clip string, vs_class string, nv_tag string, transcript string, splice_at_s double, insert_stage string, sim_converted double, sim_raw_baseline double, speaker_score double, clip_intensity double, selection_cost double"
 QUALITY = f"id string, para_audio string, para_stat struct<size:bigint,mtime_ns:bigint>, splice_at_s double, boundary_activity struct<before:double,after:double>, source {SCORES}, para {SCORES}"
-FEATURE_VERSION = 1
+#: Raised whenever a measure of clips changes: tables of other versions are measured anew.
+FEATURE_VERSION = 2
 
 
 @dataclass(frozen=True)

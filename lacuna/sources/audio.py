@@ -8,7 +8,11 @@ import wave
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+
+from lacuna.schemas import FEATURE_VERSION
+
+MEASURES = ("peak", "crest", "duration", "snr_db", "rate_hz", "tilt_db", "clipping")
 
 
 def decode(content: bytes, rate: int | None = None) -> tuple[np.ndarray, int]:
@@ -54,8 +58,8 @@ def tilt(levels: np.ndarray) -> float:
 
 
 def burst_rate(levels: np.ndarray, length: float) -> float:
-    """Peaks of the level a second, above a quarter of the loudest and six frames apart."""
-    inner = np.flatnonzero((levels[1:-1] > levels[:-2]) & (levels[1:-1] >= levels[2:]) & (levels[1:-1] > levels.max(initial=0) * 0.25)) + 1
+    """Peaks of the level a second (the last frame of a plateau), from a quarter of the loudest and six frames apart."""
+    inner = np.flatnonzero((levels[1:-1] >= levels[:-2]) & (levels[1:-1] > levels[2:]) & (levels[1:-1] / (levels.max(initial=0) + 1e-9) >= 0.25)) + 1
     kept, last = 0, -6
     for k in inner.tolist():
         if k - last >= 6:
@@ -94,19 +98,29 @@ def stamp(path: str) -> tuple[int, int] | None:
 
 
 def clip_features(samples: np.ndarray, rate: int) -> dict:
-    """The six measures of a clip: level and timing of the trimmed clip, clarity and clipping of the whole one."""
+    """The measures of a clip: peak, level and timing of the trimmed clip, clarity and clipping of the whole one."""
     from lacuna.operators import dsp
 
     islands = dsp.nonsilent(samples)
     trimmed = samples if not len(islands) else samples[max(0, islands[0, 0] - int(0.12 * rate)) : islands[-1, 1] + int(0.12 * rate)]
     peak = float(np.abs(trimmed).max(initial=0))
     levels, length = dsp.frame_levels(trimmed, 1024, 256), len(trimmed) / rate
-    return {"crest": dsp.rms(trimmed) / (peak + 1e-9), "duration": length, "snr_db": clarity(samples), "rate_hz": burst_rate(levels, length), "tilt_db": tilt(levels), "clipping": float((np.abs(samples) >= 0.999).mean()) if len(samples) else 0.0}
+    return {"peak": peak, "crest": dsp.rms(trimmed) / (peak + 1e-9), "duration": length, "snr_db": clarity(samples), "rate_hz": burst_rate(levels, length), "tilt_db": tilt(levels), "clipping": float((np.abs(samples) >= 0.999).mean()) if len(samples) else 0.0}
+
+
+def current(spark, path: str) -> bool:
+    """Whether a feature table is there and of this version."""
+    from lacuna.sources.manifest import exists
+
+    if not exists(spark, path):
+        return False
+    rows = spark.read.parquet(path)
+    return "feature_version" in rows.columns and rows.where(F.col("feature_version") != FEATURE_VERSION).isEmpty()
 
 
 def feature_table(files: DataFrame) -> DataFrame:
-    """(name, path, six measures, error) of binaryFile rows; a file that can't be read is a row with an error, not a failed job."""
-    names = ("crest", "duration", "snr_db", "rate_hz", "tilt_db", "clipping")
+    """(name, path, MEASURES, error, feature_version) of binaryFile rows; a file that can't be read is a row with an error, not a failed job."""
+    names = MEASURES
 
     def measure(batches):
         for pdf in batches:
@@ -118,4 +132,4 @@ def feature_table(files: DataFrame) -> DataFrame:
                     rows.append({"name": path.rsplit("/", 1)[-1], "path": path, **dict.fromkeys(names), "error": repr(x)[:200]})
             yield pd.DataFrame(rows, columns=["name", "path", *names, "error"]).astype(dict.fromkeys(names, float))
 
-    return files.select("path", "content").mapInPandas(measure, "name string, path string, " + ", ".join(f"{k} double" for k in names) + ", error string")
+    return files.select("path", "content").mapInPandas(measure, "name string, path string, " + ", ".join(f"{k} double" for k in names) + ", error string").withColumn("feature_version", F.lit(FEATURE_VERSION))

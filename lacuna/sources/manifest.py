@@ -3,13 +3,27 @@
 from __future__ import annotations
 
 import json
+import re
+import tempfile
+import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 AUDIO = ("wav", "flac", "mp3", "ogg")
 
 
+def is_audio(path):
+    return F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1)).isin(*AUDIO)
+
+
+def clip_name(name):
+    """struct(gender, speaker, take, kind) of a clip's file name; empty where it isn't one."""
+    part = lambda k: F.regexp_extract(name, r"^([fm])(\d+)_(\d+)_([a-z]+)\.wav$", k)
+    return F.struct(part(1).alias("gender"), part(2).alias("speaker"), part(3).alias("take"), part(4).alias("kind"))
+
+
 def stem(path):
     return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
 
@@ -17,7 +31,7 @@ def stem(path):
 def listing(spark: SparkSession, folder: str) -> DataFrame:
     """(id, path) of audio files; the content isn't read, as no column of it is used."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.where(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*AUDIO)).select(stem(F.col("path")).alias("id"), "path")
+    return files.where(is_audio(F.col("path"))).select(stem(F.col("path")).alias("id"), "path")
 
 
 def transcripts(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,6 +62,28 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(stem(F.col("audio_filepath")).alias("id"), full.alias("audio_filepath"), "text", "extra")
 
 
+def present(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose recording exists, and the others. Tasks ask the storage; nothing is listed on the driver."""
+    from lacuna.sources import audio
+
+    def look(batches):
+        for pdf in batches:
+            yield pdf.assign(__there=[audio.stamp(p) is not None for p in pdf["audio_filepath"]])
+
+    found = rows.mapInPandas(look, StructType([*rows.schema.fields, StructField("__there", BooleanType())]))
+    return found.where("__there").drop("__there"), found.where("NOT __there").drop("__there")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share; a machine's own only where all run on it."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = "file://" + tempfile.gettempdir()
+    return f"{root.rstrip('/')}/lacuna-engine/{name}-{uuid.uuid4().hex}"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
@@ -55,21 +91,39 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def read_stage(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stage table; empty where it doesn't exist yet. Damaged lines raise."""
+    recover(spark, path)
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def _stage_paths(spark: SparkSession, path: str):
+    """The file system and the places of a stage table, its successor and its predecessor."""
+    places = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + end) for end in ("", ".new", ".old")]
+    return places[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), *places
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Ends what a writer that was lost between two renames had begun: the whole new table takes its place, else the old one comes back."""
+    fs, to, new, old = _stage_paths(spark, path)
+    if not fs.exists(to) and fs.exists(old):
+        whole = fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new, "_SUCCESS"))
+        fs.rename(new if whole else old, to)
+
+
 def write_stage(df: DataFrame, path: str) -> None:
-    """To a folder beside it that then takes its place: a stage may read the table that it replaces."""
+    """To a folder beside it, in the order of the first column, that then takes its place: a stage may read the table that it
+    replaces. The old table is moved aside first and goes last, so that one of them is whole at any time."""
     spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    to, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ".new")
-    df.sortWithinPartitions(df.columns[0]).write.mode("overwrite").option("ignoreNullFields", "false").json(new.toString())
-    fs = to.getFileSystem(conf)
-    fs.delete(to, True)
+    recover(spark, path)
+    fs, to, new, old = _stage_paths(spark, path)
+    df.orderBy(df.columns[0]).write.mode("overwrite").option("ignoreNullFields", "false").json(new.toString())
+    fs.delete(old, True)
+    if fs.exists(to) and not fs.rename(to, old):
+        raise OSError(f"{path} could not be moved aside")
     if not fs.rename(new, to):
         raise OSError(f"{new.toString()} could not take the place of {path}")
+    fs.delete(old, True)
 
 
 def exported(rows: DataFrame, source: DataFrame, base: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Golden vectors, properties, and all registered queries against their SQL on the smallest tables."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -124,11 +125,104 @@ def test_stage_resumes(spark, tmp_path):
     assert run_stage(rows, path, "id string, v int", lambda df: df.withColumn("v", F.lit(-1))).where("v = -1").count() == 0
 
 
-def test_race_follows_weights(spark):
-    rows = spark.range(4000).select(F.col("id").alias("row"), F.lit("x").alias("kind"))
-    clips = spark.createDataFrame([("x", "a", 0.0), ("x", "b", float(np.log(3)))], "kind string, clip string, cost double")
-    got = select.weighted_pick(rows, clips, "kind", "row", "clip", F.col("cost"), "s")
-    assert abs(got.where("picked = 'a'").count() / 4000 - 0.75) < 0.03
+@pytest.mark.parametrize("attempts", [1, 8])
+def test_pick_follows_weights(spark, attempts):
+    """Shares of picks against exact weights, by cells and by the race of the rows whose attempts failed; a clip without a value, a row without one, a kind without clips."""
+    n, rng = 6000, np.random.default_rng(3)
+    clips = [("x", f"c{i:02d}", float(v) if i else None, float(w)) for i, (v, w) in enumerate(zip(rng.uniform(-0.3, 1.3, 12), rng.uniform(0, 40, 12)))]
+    df = spark.createDataFrame(clips, "kind string, clip string, a double, b double")
+    rows = spark.range(n).select(F.col("id").alias("row"), F.when(F.col("id") % 3 < 2, "x").otherwise("none").alias("kind"), F.when(F.col("id") % 3 == 0, 0.4).alias("t"), F.lit(20.0).alias("s"))
+    cost = F.coalesce(F.abs(F.col("a") - F.col("t")) / 0.35, F.lit(0.5)) + F.abs(F.col("b") - F.col("s")) / 12
+    axes = [select.Axis(F.col("a"), F.col("t"), 1 / 0.35, 0.0, 0.25, 4), select.Axis(F.col("b"), F.col("s"), 1 / 12, 0.0, 6.0, 6)]
+    got = select.weighted_pick(rows, df, "kind", "row", "clip", cost, "s", axes, attempts).collect()
+    assert sorted(r.row for r in got) == [i for i in range(n) if i % 3 < 2]
+    for kind in (0, 1):
+        w = {c: np.exp(-((abs(a - 0.4) / 0.35 if a is not None and kind == 0 else 0.5) + abs(b - 20) / 12)) for _, c, a, b in clips}
+        share = Counter(r.picked for r in got if r.row % 3 == kind)
+        assert all(abs(share[c] / (n // 3) - x / sum(w.values())) < 0.045 for c, x in w.items())
+    again = select.weighted_pick(rows.repartition(7), df.repartition(3), "kind", "row", "clip", cost, "s", axes, attempts)
+    assert {(r.row, r.picked) for r in again.collect()} == {(r.row, r.picked) for r in got}
+
+
+def test_sample_is_a_plain_draw(spark):
+    rows = spark.range(5000).select(F.col("id").alias("item"), F.when(F.col("id") < 30, "small").when(F.col("id") < 40, None).otherwise("large").alias("g"))
+    got = select.sample(rows, "g", "item", 48, "5", parts=16).collect()
+    u = lambda g, i: (int(hashlib.sha256("\0".join(x for x in ("5", g, str(i)) if x is not None).encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+    for g, ids in (("small", range(30)), (None, range(30, 40)), ("large", range(40, 5000))):
+        want = sorted(ids, key=lambda i: (u(g, i), i))[:48]
+        assert [r.item for r in sorted(got, key=lambda r: r.draw) if r.g == g] == want
+
+
+def test_peaks_on_plateaus(spark):
+    """The last frame of a plateau counts; the threshold is a share of the loudest and a trifle."""
+    level = [0, 0.51, 0.51, 0.1, 0.1, 0.1, 0.1, 0.1, 2.0, 0.1, 0.1, 0.1, 0.1, 0.1, 0.51, 0.2]
+    df = spark.createDataFrame([("a", k, float(v)) for k, v in enumerate(level)], "id string, k int, rms double")
+    assert series.peak_rate(df, "id", 0.25, 6, 100.0).first().peaks == 3
+    assert series.peak_rate(df, "id", 0.26, 6, 100.0).first().peaks == 1
+    assert audio.burst_rate(np.array(level), 1.0) == 3 and audio.burst_rate(np.array(level) * [1 - 0.02 * (v == 0.51) for v in level], 1.0) == 1 and audio.burst_rate(np.array([0, 1.0, 1.0, 0.2]), 1.0) == 1
+
+
+def test_reference_values():
+    """Worked out by hand: the seam is an eighth, short references give noise of their level, the cap is of all the speech."""
+    tone = dsp.room_tone(14, np.arange(16.0) / 100, 160, 0.0)
+    assert np.allclose(tone, np.array([14, 1, *range(2, 14)]) / 100)
+    assert 0.5 < dsp.rms(dsp.room_tone(4000, np.ones(4), 16, 0.25)) < 1.5
+    speech = np.concatenate([np.full(2000, 0.4), np.full(2000, 0.01)])
+    gain = dsp.level_gain(np.array([1.0, 0.0, 0.0, 0.0]), speech, 1000, 4000, 60.0, 0.0, context_s=1.0)
+    assert abs(gain - 0.4 * 1.5) < 1e-9
+    out = dsp.adaptive_splice(np.concatenate([np.ones(500), np.zeros(500)]), np.ones(100), 1000, 0.5, 0.0, 0.02, 0.01, 0.05)
+    assert len(out) == 1000 + 100 + 50 + 50 and out[499] < 0.01 and out[550] < 0.01
+
+
+def test_replies_are_tried_again(spark):
+    from lacuna.backends.protocols import choose_slots, usable
+
+    for reply, good in (('{"slot": 2, "tag": "[Cough]"}', True), ('{"slot": null}', True), ('{"slot": 4, "tag": "cough"}', False), ("{oops", False), ("none", False), ('{"slot": 2, "tag": "yawn"}', False), ('{"slot": 2.0, "tag": "sigh"}', False)):
+        assert usable(reply, 3) == good, reply
+
+    class Slow:
+        def choose(self, marked, slots, attempt):
+            return ['{"slot": 9, "tag": "sigh"}', "{broken", '{"slot": 1, "tag": "sigh"}'][attempt - 1]
+
+    rows = spark.createDataFrame([("a", "x", 2), ("b", "x", 0)], "id string, marked string, slots int")
+    assert [(r.id, r.attempts) for r in choose_slots(rows, Slow()).collect()] == [("a", 3)]
+
+
+def test_lost_writers_recover(spark, tmp_path):
+    """Between any two steps of a writer that is lost, one whole table is found."""
+    import os
+
+    rows = lambda v: spark.createDataFrame([("b", v), ("a", v)], "id string, v int")
+    path, schema = str(tmp_path / "t"), "id string, v int"
+    manifest.write_stage(rows(1), path)
+    manifest.write_stage(rows(2), f"{path}2")
+    os.rename(path, f"{path}.old")
+    os.rename(f"{path}2", f"{path}.new")
+    assert {r.v for r in manifest.read_stage(spark, path, schema).collect()} == {2}
+    os.rename(path, f"{path}.old2")
+    os.remove(f"{path}.old2/_SUCCESS")
+    os.rename(f"{path}.old2", f"{path}.new")
+    assert {r.v for r in manifest.read_stage(spark, path, schema).collect()} == {1}
+    manifest.write_stage(rows(3), path)
+    assert [tuple(r) for r in manifest.read_stage(spark, path, schema).collect()] == [("a", 3), ("b", 3)]
+
+
+def test_missing_audio(spark, tmp_path):
+    (tmp_path / "a.wav").write_bytes(b"x")
+    (tmp_path / "m.jsonl").write_text('{"audio_filepath": "a.wav", "text": "t", "lang": "vi"}\n\n{"audio_filepath": "b.wav", "text": "u"}\n')
+    here, gone = manifest.present(manifest.read_manifest(spark, str(tmp_path / "m.jsonl")))
+    assert [(r.id, r.extra) for r in here.collect()] == [("a", '{"lang": "vi"}')] and [r.id for r in gone.collect()] == ["b"]
+
+
+def test_upserts_as_a_stream(spark, tmp_path):
+    from lacuna.streaming.sessions import upsert_stream, upserted
+
+    src, path = tmp_path / "in", str(tmp_path / "t")
+    for part in ([("a", 1, 1), ("b", 1, 1), ("a", 2, 2)], [("b", 0, 9), ("c", 5, 5)]):
+        spark.createDataFrame(part, "id string, v int, x int").coalesce(1).write.mode("append").parquet(str(src))
+        stream = spark.readStream.schema("id string, v int, x int").parquet(str(src))
+        upsert_stream(stream, path, "id", "v", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
+    assert sorted(tuple(r) for r in upserted(spark, path, "id", "v").collect()) == [("a", 2, 2), ("b", 0, 9), ("c", 5, 5)]
 
 
 def test_candidate_slots(spark):
@@ -172,7 +266,7 @@ def test_sessions_stream(spark, tmp_path):
 
 
 def test_whole_texts(spark, tmp_path):
-    """Tokens and characters past those that the SQL cuts at, spaces that differ between engines, and nulls."""
+    """Long texts, spaces that differ between engines, and nulls."""
     import unicodedata
 
     texts = ["đường  ĐỖ\u3000x " * 400 + "končí", "a\x1cb\x85c\xa0d " * 100, " ", "", None, "😀 nữa\n" * 3000, "x" * 299 + "yz tail"]
@@ -187,43 +281,25 @@ def test_whole_texts(spark, tmp_path):
             elif c in white and start is not None:
                 want.append((i, t[start:k], start, k))
                 start = None
-    assert sorted(tuple(r) for r in entry.queries()["token_spans_whole"](spark, str(tmp_path)).collect()) == sorted(want)
-    got = {r.doc_id: r.plain for r in entry.queries()["deaccent_whole"](spark, str(tmp_path)).collect()}
+    assert sorted(tuple(r) for r in entry.queries()["token_spans"](spark, str(tmp_path)).collect()) == sorted(want)
+    got = {r.doc_id: r.plain for r in entry.queries()["deaccent"](spark, str(tmp_path)).collect()}
     strip = lambda t: unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn")).replace("đ", "d").replace("Đ", "D")
     assert got == {i: t if t is None else strip(t) for i, t in enumerate(texts)}
 
 
 def test_whole_tables(spark):
-    """All orders, users and labels, which the SQL's modulo filters leave out; where the SQL has a row, it is the same one."""
+    """All orders, users and labels."""
     run = lambda name: entry.queries()[name](spark, SF)
     t = lambda name: spark.read.parquet(f"{SF}/{name}.parquet")
-    parts, orders = t("part").collect(), t("orders").collect()
-    kinds = sorted({p.p_type for p in parts})
-    of = {k: sorted((p for p in parts if p.p_type == k), key=lambda p: (p.p_retailprice, p.p_partkey)) for k in kinds}
-    want = {}
-    for o in orders:
-        if o.o_orderkey % 6 >= len(kinds):
-            continue
-        clips = of[kinds[o.o_orderkey % 6]]
-        for k, p in enumerate(clips):
-            rank = k / (len(clips) - 1) if len(clips) > 1 else 0.5
-            cost = abs(rank - min(float(o.o_totalprice) / 400000, 1)) / 0.35 + abs(np.log2(p.p_size / (1 + o.o_custkey % 50)))
-            want[o.o_orderkey, p.p_partkey] = (cost, float(np.exp(-cost)))
-    got = {(r.o_orderkey, r.p_partkey): r.weight for r in run("clip_weights_whole").collect()}
-    assert got.keys() == want.keys() and all(abs(got[k] - want[k][1]) < 2e-6 for k in want)
-    draw = lambda o, p: (int(hashlib.sha256(f"3\0{o}\0{p}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
-    best = {}
-    for (o, p), (cost, _) in want.items():
-        best[o] = min(best.get(o, (np.inf, 0)), (np.log(-np.log(draw(o, p))) + cost, p))
-    picked = {r.o_orderkey: r.picked for r in run("weighted_pick_whole").collect()}
-    assert picked == {o: p for o, (_, p) in best.items()}
-    for name in ("weighted_pick", "clip_weights", "gate_reasons"):
-        assert run(name).exceptAll(run(f"{name}_whole")).count() == 0
+    kinds, orders = t("part").select("p_type").distinct().count(), t("orders").collect()
+    picked = {r.o_orderkey: r.picked for r in run("weighted_pick").collect()}
+    assert picked.keys() == {o.o_orderkey for o in orders if o.o_orderkey % 6 < kinds}
+    assert run("clip_weights").count() == t("lineitem").where(F.col("l_orderkey") % 6 < kinds).count()
     users = {r.user_id for r in t("events").select("user_id").distinct().collect()}
-    gate = {r.user_id: r.kept for r in run("gate_reasons_whole").collect()}
+    gate = {r.user_id: r.kept for r in run("gate_reasons").collect()}
     assert gate.keys() == users
     everyone = users | {r.c_custkey for r in t("customer").collect()}
-    assert {r.user_id for r in run("gate_fail_open_whole").collect()} == {u for u in everyone if gate.get(u, True)}
+    assert {r.user_id for r in run("gate_fail_open").collect()} == {u for u in everyone if gate.get(u, True)}
     labels = {r.doc_id: (1 - r.quality, 2) if r.toxic == 1 else (r.quality, 1) for r in t("labels").collect()}
-    assert {r.doc_id: (r.quality, r.version) for r in run("upsert_by_id_whole").collect()} == labels
-    assert {r.o_orderkey for r in engine.flagship(spark, SF).collect()} == {o.o_orderkey for o in orders if o.o_orderkey in best and gate.get(o.o_custkey, True)}
+    assert {r.doc_id: (r.quality, r.version) for r in run("upsert_by_id").collect()} == labels
+    assert {r.o_orderkey for r in engine.flagship(spark, SF).collect()} == {o.o_orderkey for o in orders if o.o_orderkey in picked and gate.get(o.o_custkey, True)}
