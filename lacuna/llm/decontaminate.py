@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import pickle
 import re
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -125,27 +126,39 @@ class Automaton:
 
 
 def automata(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> list[str]:
-    """Writes the automata of blocks of items; their places. Items pass through the driver one by one."""
+    """Automata of blocks of items, built and written by tasks; their places. Only those pass through the driver, one for each
+    block_words words or fewer. A block's file is named by its attempt, so that what a lost task wrote is not read."""
     spark = items.sparkSession
-    fs, root = filesystem(shared_path(spark, "automata"))
-    fs.create_dir(root, recursive=True)
-    paths, block, size = [], [], 0
-
-    def close():
-        with fs.open_output_stream(f"{root}/{len(paths)}.pickle") as f:
-            f.write(pickle.dumps(Automaton(block, window)))
-        paths.append(f"{root}/{len(paths)}.pickle")
-
-    for r in items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("i"), F.col(text_col).alias("t")).toLocalIterator():
-        words = words_of(r["t"])
-        if size and size + len(words) > block_words:
-            close()
-            block, size = [], 0
-        block.append((r["i"], words))
-        size += len(words)
-    if size:
-        close()
-    return paths
+    folder = shared_path(spark, "automata")
+    rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("i"), F.col(text_col).alias("t"))
+    size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    parts = 1 + size // (8 * block_words)
+
+    def build(batches):
+        tidy()
+        fs, root = filesystem(folder)
+        fs.create_dir(root, recursive=True)
+        block, size = [], 0
+
+        def written_to():
+            path = f"{root}/{uuid.uuid4().hex}.pickle"
+            with fs.open_output_stream(path) as f:
+                f.write(pickle.dumps(Automaton(block, window)))
+            return pd.DataFrame({"path": [path]})
+
+        for pdf in batches:
+            for i, t in zip(pdf["i"].tolist(), pdf["t"].tolist()):
+                words = words_of(t)
+                if size and size + len(words) > block_words:
+                    yield written_to()
+                    block, size = [], 0
+                block.append((i, words))
+                size += len(words)
+        if size:
+            yield written_to()
+
+    dealt = rows.repartition(parts, F.xxhash64("i", "t"))
+    return sorted(r["path"] for r in dealt.mapInPandas(build, "path string").collect())
 
 
 def groups(texts: list[str | None], most_chars: int = 2_000_000):

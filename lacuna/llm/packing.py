@@ -15,6 +15,7 @@ source columns are ignored. Every source has a queue of its own; work grows with
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import sys
@@ -50,6 +51,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 65536:
             raise ValueError("16-bit ids are too small for this vocabulary")
+        made = json.loads(self.tokenizer.to_str())
+        split = made.get("pre_tokenizer") or {}
+        #: Whether LATIN_SPLIT is what this file's pre-split does; else all texts go to the tokenizer whole.
+        self.known_split = made.get("normalizer") is None and {k: v for k, v in split.items() if k != "trim_offsets"} == {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep, self.known, self.before = keep, {}, {}
 
@@ -67,7 +72,7 @@ class Encoder:
         for i, t in enumerate(texts):
             try:
                 t.encode("latin-1")
-                plain = not any(s in t for s in self.special)
+                plain = self.known_split and not any(s in t for s in self.special)
             except UnicodeEncodeError:
                 plain = False
             if not plain:

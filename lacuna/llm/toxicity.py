@@ -6,7 +6,8 @@ training rows; where the second part is negative, its gradient is reversed, so t
 features are the presence of hashed words whose share among positives differs from that among the unlabelled by `least_z`
 standard errors.
 
-Training takes at most `most_rows` positives and as many unlabelled rows, chosen by hash; scoring covers whole texts of all rows.
+Training takes about `most_rows` positives and as many unlabelled rows (twice as many ids at most, 8 * most_rows rows together), the first by
+hash, so that a run can be repeated; scoring covers whole texts of all rows.
 Training rows are those that the caller marks; labels of others are not read.
 
 Edge cases: null and empty texts are scored as texts without words; labels of null or unknown ids are ignored; a
@@ -104,7 +105,8 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
     def chosen(ids: DataFrame, count: int) -> DataFrame:
         """About most_rows ids at most, by hash, and no more than twice as many in any case."""
         share = int(min(1.0, most_rows / max(1, count)) * (1 << 20))
-        return ids.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < share).limit(2 * most_rows)
+        place = F.xxhash64("doc_id", F.lit(seed))
+        return ids.where(F.pmod(place, F.lit(1 << 20)) < share).orderBy(place, "doc_id").limit(2 * most_rows)
 
     train = out.where(~F.col("held_out") & F.col("doc_id").isNotNull())
     ids = chosen(known.where("y = 1").select("doc_id"), toxic).withColumn("positive", F.lit(True)).union(chosen(train.select("doc_id").distinct(), train.count()).withColumn("positive", F.lit(False)))
@@ -113,10 +115,12 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
     def take(batches):
         features = Features()
         for pdf in batches:
-            yield pd.DataFrame({"positive": pdf["positive"], "x": [features(t) for t in pdf["text"].tolist()]})
+            yield pdf[["place", "positive"]].assign(x=[features(t).astype("<i4").tobytes() for t in pdf["text"].tolist()])
 
-    taken = train.join(ids, "doc_id").select("positive", "text").mapInPandas(take, "positive boolean, x array<int>").limit(8 * most_rows).toPandas()
-    sides = [[np.asarray(x, np.int64) for x in taken["x"][taken["positive"] == side]] for side in (True, False)]
+    place = F.xxhash64("doc_id", "text", F.lit(seed))  # rows whose ids repeat may be more than were chosen
+    taken = train.join(ids, "doc_id").select(place.alias("place"), "positive", "text").mapInPandas(take, "place long, positive boolean, x binary").orderBy("place", "positive").limit(8 * most_rows).toPandas()
+    sides = [[np.frombuffer(x, "<i4") for x in taken["x"][taken["positive"] == side]] for side in (True, False)]
+    del taken
     if not sides[0] or not sides[1]:
         return out.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     model = fit(*sides, prior)

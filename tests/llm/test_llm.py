@@ -149,6 +149,129 @@ def test_quality(spark, docs, none):
     assert quality.classify(docs, ids.where("doc_id < 0")).where("kept").count() == docs.where("length(text) > 0").count()
 
 
+def test_quality_brute_force(spark):
+    """Perplexities of the interpolated modified Kneser-Ney model by its definition, on counts in dictionaries."""
+    from lacuna.llm.charcodes import CLASSES, TABLE
+
+    random.seed(8)
+    text = lambda n: " ".join("".join(random.choices("abcdeé.", k=random.randint(1, 6))) for _ in range(n))
+    data = [(i, text(random.randint(1, 60)), "en") for i in range(40)] + [(50, "", "en"), (51, None, None)]
+    trusted = [t for i, t, _ in data if i < 20]
+    padded = lambda t: (0,) * 3 + tuple(int(TABLE[b]) for b in t.encode())
+    counts = Counter(tuple(c[k : k + 4]) for c in map(padded, trusted) for k in range(len(c) - 3))
+    levels = {4: counts}
+    for n in (3, 2, 1):
+        levels[n] = Counter(g[1:] for g in levels[n + 1])
+    cuts = {}
+    for n, c in levels.items():
+        m = Counter(c.values())
+        y = m[1] / (m[1] + 2 * m[2])
+        raw = [1 - 2 * y * m[2] / m[1], 2 - 3 * y * m[3] / m[2], 3 - 4 * y * m[4] / m[3] if m[3] else 0.5] if m[1] and m[2] else [0.5] * 3
+        cuts[n] = [min(max(d, 0.05), k + 0.95) if m[1] and m[2] else d for k, d in enumerate(raw)]
+    sums, gaps = defaultdict(int), defaultdict(float)
+    for n, c in levels.items():
+        for g, k in c.items():
+            sums[n, g[:-1]] += k
+            gaps[n, g[:-1]] += cuts[n][min(k, 3) - 1]
+
+    def prob(g):
+        n = len(g)
+        if not n:
+            return 1 / CLASSES
+        total = sums.get((n, g[:-1]))
+        if not total:
+            return prob(g[1:])
+        k = levels[n].get(g, 0)
+        return (max(0, k - cuts[n][min(k, 3) - 1]) if k else 0) / total + gaps[n, g[:-1]] / total * prob(g[1:])
+
+    def perplexity(t):
+        c = padded(t)
+        return float(np.exp(-np.mean([np.log(prob(tuple(c[k : k + 4]))) for k in range(len(c) - 3)])))
+
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r for r in quality.classify(df, spark.createDataFrame([(i,) for i in range(20)], "doc_id long"), quantile=0.8).collect()}
+    want = {i: perplexity(t) for i, t, _ in data if t}
+    assert all(abs(got[i].perplexity - p) < 2e-3 * p for i, p in want.items())
+    limit = sorted(want[i] for i in range(20))[15]
+    assert all(got[i].kept == (p <= limit * (1 + 1e-9)) for i, p in want.items() if abs(p - limit) > 0.01) and not got[50].kept and not got[51].kept
+
+
+def test_pii_brute_force(spark):
+    """The Feistel network written again, and run backwards: it is the same permutation, and each value comes back."""
+    key = pii.subkey("k")
+
+    def turn(sign, left, right, a, b, tweak):
+        digest = lambda i, x: int(hashlib.sha256(f"{key}|{tweak}|{i}|{x}".encode()).hexdigest()[:15], 16)
+        for i in range(8) if sign > 0 else range(7, -1, -1):
+            if i % 2 == 0:
+                left = (left + sign * (digest(i, right) % a)) % a
+            else:
+                right = (right + sign * (digest(i, left) % b)) % b
+        return left, right
+
+    def permuted(d, kind, sign):
+        u, n = len(d) // 2, len(d)
+        x, y = turn(sign, int(d[:u] or 0), int(d[u:]), 10**u, 10 ** (n - u), f"{kind}{n}")
+        return (str(x).zfill(u) if u else "") + str(y).zfill(n - u)
+
+    luhn = lambda s: str(-sum(d if i % 2 else d * 2 - 9 * (d > 4) for i, d in enumerate(int(c) for c in reversed(s))) % 10)
+    random.seed(6)
+    bodies = ["".join(random.choices("0123456789", k=15)) for _ in range(30)]
+    cards = [b + luhn(b) for b in bodies]
+    got = [r.text for r in pii.pseudonymise(spark.createDataFrame([*enumerate(cards)], "doc_id int, text string"), "k").orderBy("doc_id").collect()]
+    assert got == [(n := permuted(b, "card", 1)) + luhn(n) for b in bodies]
+    assert [permuted(g[:-1], "card", -1) for g in got] == bodies
+    addresses = [".".join(str(random.randrange(256)) for _ in range(4)) for _ in range(30)]
+    got = [r.text for r in pii.pseudonymise(spark.createDataFrame([*enumerate(addresses)], "doc_id int, text string"), "k").orderBy("doc_id").collect()]
+    for old, new in zip(addresses, got):
+        a, b, c, d = map(int, new.split("."))
+        x, y = turn(-1, a * 256 + b, c * 256 + d, 65536, 65536, "ip")
+        assert f"{x >> 8}.{x & 255}.{y >> 8}.{y & 255}" == old
+
+
+def test_toxicity_risk_stays_positive():
+    """With a prior that is too high the plain risk of the negative part falls below zero; the correction holds it near zero."""
+    rng = np.random.default_rng(4)
+    rows = lambda n, toxic: [np.sort(np.unique(np.concatenate([rng.integers(0, 300, 12), [500 + int(rng.integers(20))] if toxic else []]).astype(np.int32))) for _ in range(n)]
+    positive, unlabelled = rows(400, True), rows(300, True) + rows(300, False)
+    prior = 0.9
+    chosen, w, b = toxicity.fit(positive, unlabelled, prior, least_z=2.0)
+    logit = lambda data: np.array([w[np.searchsorted(chosen, r[np.isin(r, chosen)])].sum() + b for r in data])
+    negative = lambda u, p: float(np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean())
+    assert negative(logit(unlabelled), logit(positive)) > -0.1
+    x = lambda data: np.array([np.isin(chosen, r) for r in data], float)
+    xp, xu, v, c = x(positive), x(unlabelled), np.zeros(len(chosen)), 0.0
+    sigmoid = lambda s: 1 / (1 + np.exp(-s))
+    for _ in range(2000):  # the plain risk, by gradient descent
+        sp, su = xp @ v + c, xu @ v + c
+        gp, gu = -prior * np.ones(len(sp)) / len(sp), sigmoid(su) / len(su)
+        v, c = v - 0.5 * (xp.T @ gp + xu.T @ gu), c - 0.5 * (gp.sum() + gu.sum())
+    assert negative(xu @ v + c, xp @ v + c) < -0.1
+
+
+def test_toxicity_repeats(spark):
+    """A run can be repeated where more rows are eligible than are taken, whatever the partitions."""
+    random.seed(2)
+    data = [(i % 700, " ".join(random.choices("abcdefgh", k=8) + (["vile"] if i % 700 % 4 == 0 else []))) for i in range(2100)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(700)], "doc_id long, toxic int")
+    a, b = (Counter((r.doc_id, round(r.score, 9)) for r in toxicity.classify(df.repartition(n), labels, F.col("doc_id") % 5 == 0, most_rows=60).collect()) for n in (2, 7))
+    assert a == b
+
+
+def test_packing_of_other_vocabularies(tmp_path):
+    """A file with another pre-split gets whole texts."""
+    made = json.load(open(vocabulary_path()))
+    made["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "v.json").write_text(json.dumps(made))
+    from tokenizers import Tokenizer
+
+    texts = ["a few words, 12 of them's", " lead", "é x\n\n y", ""]
+    e, t = packing.Encoder(str(tmp_path / "v.json")), Tokenizer.from_file(str(tmp_path / "v.json"))
+    assert not e.known_split and packing.Encoder(vocabulary_path()).known_split
+    assert [np.frombuffer(x, "<u2").tolist() for x in e.batch(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_language(spark, docs, none):
     en, de = "the man and the woman are in the house with other people ", "der mann und die frau sind nicht in einem haus mit anderen "
     data = [(i, (en if i % 2 else de) * 3, "en" if i % 2 else "de", f"s{i % 2}") for i in range(40)] + [(90, de, "en", "s1"), (91, "12 34 ##", "en", "s1"), (92, None, None, None)]
