@@ -38,6 +38,29 @@ class Transcriber(Protocol):
     def transcribe(self, samples: np.ndarray, rate: int, language: str) -> str: ...
 
 
+class Lazy:
+    """A model that is made in each worker when it is first needed. One that can't be made is not tried again there: it raises the
+    first error, which the row that asked gets."""
+
+    made: dict[str, object] = {}
+
+    def __init__(self, name: str, make):
+        self.name, self.make = name, make
+
+    def __getattr__(self, what):
+        if what.startswith("__"):
+            raise AttributeError(what)
+        if self.name not in Lazy.made:
+            try:
+                Lazy.made[self.name] = self.make()
+            except Exception as x:  # kept, so that later rows don't load it again
+                Lazy.made[self.name] = RuntimeError(f"{self.name} could not be loaded: {type(x).__name__}: {x}")
+        model = Lazy.made[self.name]
+        if isinstance(model, RuntimeError):
+            raise model
+        return getattr(model, what)
+
+
 class EvenAligner:
     """Words of equal shares of the recording, with gaps between them."""
 

@@ -58,6 +58,17 @@ def filter_(spark, cfg, models, args) -> int:
     return 0
 
 
+def unpack_clips(spark, cfg, models, args) -> int:
+    from lacuna.sources import corpus
+
+    if corpus.whole(spark, cfg.paths.clip_dir, args.expected):
+        print("the clips are there")
+        return 0
+    n, bad = corpus.unpack(spark, args.archives, cfg.paths.clip_dir).agg(F.sum("n"), F.count("error")).first()
+    print(f"{n or 0} clips, {bad} archives with errors")
+    return 0 if not bad and corpus.whole(spark, cfg.paths.clip_dir, args.expected) else 1
+
+
 def export(spark, cfg, models, args) -> int:
     from lacuna.plans import workflow
 
@@ -96,6 +107,9 @@ def parser() -> argparse.ArgumentParser:
     add("export", export).add_argument("--out")
     for name in ("align", "synth", "run"):
         add(name, _counted(name), "--force", limit=True)
+    unpack = add("unpack-clips", unpack_clips)
+    unpack.add_argument("archives")
+    unpack.add_argument("--expected", type=int, default=1)
     add("filter", filter_, "--force")
     add("inspect", inspect, limit=5)
     return p
@@ -105,6 +119,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, model
     from lacuna.plans.workflow import Models
 
     args = parser().parse_args(argv)
+    config.read_env(".env")
     spark = spark or SparkSession.builder.appName("lacuna").getOrCreate()
     return args.run(spark, config.load(args.config), models or Models(), args)
 

@@ -54,6 +54,22 @@ def build(values: dict | None = None, base: str = ".") -> SimpleNamespace:
     return _spaces(merged)
 
 
+def read_env(path: str) -> None:
+    """KEY=VALUE lines of a file into the environment; what is set already stays, comments and other lines are skipped."""
+    if not os.path.isfile(path):
+        return
+    with open(path, encoding="utf-8") as f:
+        for line in map(str.strip, f):
+            name, sign, value = line.partition("=")
+            if sign and not line.startswith("#"):
+                os.environ.setdefault(name.strip(), value.strip().strip('"').strip("'"))
+
+
+def model_source(folder: str, name: str) -> str:
+    """The folder of a model if it is there, else the name under which a hub has it."""
+    return folder if os.path.isdir(folder) else name
+
+
 def load(path: str | None) -> SimpleNamespace:
     """Settings of a YAML file; paths in it are relative to its folder."""
     if path is None:

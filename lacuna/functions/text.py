@@ -6,6 +6,7 @@ import re
 import unicodedata
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -64,11 +65,26 @@ def tokens(text: Column) -> Column:
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-@F.pandas_udf(ArrayType(StructType([StructField("text", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())])))
-def token_spans(texts: pd.Series) -> pd.Series:
-    """array of struct(text, start, end), in characters from 0; linear in the text, which appending to an array isn't."""
-    token = re.compile(f"[^{SPACE}]+")
-    return texts.map(lambda t: [{"text": m[0], "start": m.start(), "end": m.end()} for m in token.finditer(t)], na_action="ignore")
+SPAN = StructType([StructField("text", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())])
+
+
+@F.arrow_udf(ArrayType(SPAN))
+def token_spans(texts: pa.Array) -> pa.Array:
+    """array of struct(text, start, end), in characters from 0; linear in the text, which appending to an array isn't. Arrow
+    arrays are made as a whole, without an object for each token."""
+    found = re.compile(f"[^{SPACE}]+").finditer
+    words, starts, ends, offsets, nulls = [], [], [], [0], []
+    for t in texts.to_pylist():
+        for m in found(t or ""):
+            words.append(m[0])
+            start, end = m.span()
+            starts.append(start)
+            ends.append(end)
+        offsets.append(len(words))
+        nulls.append(t is None)
+    fields = [pa.array(words, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
+    spans = pa.StructArray.from_arrays(fields, ["text", "start", "end"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans, mask=pa.array(nulls, pa.bool_()))
 
 
 def aligner_token(word: Column) -> Column:

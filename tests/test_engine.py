@@ -207,6 +207,53 @@ def test_lost_writers_recover(spark, tmp_path):
     assert [tuple(r) for r in manifest.read_stage(spark, path, schema).collect()] == [("a", 3), ("b", 3)]
 
 
+def test_archives(spark, tmp_path, capsys):
+    import io
+    import tarfile
+    import zipfile
+
+    from lacuna import cli
+    from lacuna.sources import corpus
+
+    src, out = tmp_path / "in", str(tmp_path / "clips")
+    src.mkdir()
+    with tarfile.open(src / "a.tar.gz", "w:gz") as t:
+        for name in ("x/f1_0_sigh.wav", "x/readme.txt", "y/m2_0_cough.WAV"):
+            info = tarfile.TarInfo(name)
+            info.size = 3
+            t.addfile(info, io.BytesIO(b"abc"))
+    with zipfile.ZipFile(src / "b.zip", "w") as z:
+        z.writestr("deep/er/f3_0_sniff.wav", b"defg")
+    (src / "c.tar").write_bytes(b"no archive")
+    got = {r.archive.rsplit("/", 1)[-1]: r for r in corpus.unpack(spark, str(src), out).collect()}
+    assert (got["a.tar.gz"].n, got["a.tar.gz"].bytes, got["a.tar.gz"].error) == (2, 6, None) and got["b.zip"].n == 1 and got["c.tar"].error
+    assert (tmp_path / "clips" / "f3_0_sniff.wav").read_bytes() == b"defg"
+    assert corpus.whole(spark, out, 3) and not corpus.whole(spark, out, 4) and not corpus.whole(spark, out + "x", 1)
+    (tmp_path / "run.yaml").write_text("paths: {clip_dir: clips}")
+    assert cli.main(["--config", str(tmp_path / "run.yaml"), "unpack-clips", str(src), "--expected", "3"], spark) == 0
+
+
+def test_environment_and_models(tmp_path, monkeypatch):
+    import os
+
+    from lacuna import config
+    from lacuna.backends.protocols import EvenAligner, Lazy
+
+    monkeypatch.setenv("LACUNA_B", "mine")
+    monkeypatch.delenv("LACUNA_A", raising=False)
+    (tmp_path / ".env").write_text('# no\nLACUNA_A = "x=y"\nLACUNA_B=theirs\nnothing\n')
+    config.read_env(str(tmp_path / ".env"))
+    config.read_env(str(tmp_path / "none"))
+    assert (os.environ["LACUNA_A"], os.environ["LACUNA_B"]) == ("x=y", "mine")
+    assert config.model_source(str(tmp_path), "hub/x") == str(tmp_path) and config.model_source(str(tmp_path / "no"), "hub/x") == "hub/x"
+    tries = []
+    bad = Lazy("bad", lambda: tries.append(1) or 1 / 0)
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="ZeroDivisionError"):
+            bad.word_times("a", 1.0)
+    assert len(tries) == 1 and Lazy("even", EvenAligner).word_times("a b", 2.0)[1][0] == "b"
+
+
 def test_missing_audio(spark, tmp_path):
     (tmp_path / "a.wav").write_bytes(b"x")
     (tmp_path / "m.jsonl").write_text('{"audio_filepath": "a.wav", "text": "t", "lang": "vi"}\n\n{"audio_filepath": "b.wav", "text": "u"}\n')
