@@ -115,3 +115,29 @@ def gain(insert: Column, speech: Column, cut: Column, context: int, decibels: fl
     wanted = level / rms(insert) * 10 ** (decibels / 20)
     most = high * headroom / peak(insert)
     return F.when((rms(insert) <= 0) | (level <= 0), 1.0).when(high > 0, F.least(wanted, most)).otherwise(wanted)
+
+
+def spliced(speech: Column, insert: Column, cut: Column, pads: tuple[Column, Column], fade: int, phase: Column, win: int) -> Column:
+    """speech with the insert behind its first cut values, between two stretches of its own quietest window; all four edges decay."""
+    edge, tone = F.lit(fade), quietest(speech, win)
+    left, right = F.slice(speech, F.lit(1), cut), F.slice(speech, cut + 1, F.size(speech))
+    gaps = [F.when(n > 0, looped(tone, n, phase)).otherwise(F.array().cast("array<double>")) for n in pads]
+    return F.concat(faded(left, edge, "exponential", head=False), gaps[0], faded(insert, edge, "exponential"), gaps[1], faded(right, edge, "exponential", tail=False))
+
+
+def active(edge: Column, side: Column, limit: float = 0.2) -> Column:
+    """Whether there is sound right at a cut: the edge's level is more than a share of its side's."""
+    return F.when(rms(side) > 0, rms(edge) / rms(side) > limit).otherwise(F.lit(False))
+
+
+def adapted(speech: Column, insert: Column, cut: Column, fade: int, narrow: int, wide: int, phase: Column, win: int) -> Column:
+    """The same, but only edges with sound at the cut fade, by a half cosine, and the gap behind such an edge is the wide one."""
+    edge, tone = F.lit(fade), quietest(speech, win)
+    left, right = F.slice(speech, F.lit(1), cut), F.slice(speech, cut + 1, F.size(speech))
+    first, last = (lambda a: F.slice(a, F.lit(1), edge)), (lambda a: F.slice(a, F.greatest(F.size(a) - fade, F.lit(0)) + 1, edge))
+    before, head, tail, after = active(last(left), left), active(first(insert), insert), active(last(insert), insert), active(first(right), right)
+    gap = lambda busy: looped(tone, F.when(busy, wide).otherwise(narrow), phase)
+    rise = once(F.when(head, faded(insert, edge, "cosine", tail=False)).otherwise(insert), lambda a: F.when(tail, faded(a, edge, "cosine", head=False)).otherwise(a))
+    left = F.when(before, faded(left, edge, "cosine", head=False)).otherwise(left)
+    right = F.when(after, faded(right, edge, "cosine", tail=False)).otherwise(right)
+    return F.concat(left, gap(before), rise, gap(tail), right)

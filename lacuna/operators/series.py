@@ -110,11 +110,22 @@ def peak_rate(frame_rows: DataFrame, key: str, threshold: float, min_gap: int, f
     return found.select(key, fold.alias("peaks"), (fold * frames_a_second / F.col("m")).alias("rate"))
 
 
-def position_ranks(rows: DataFrame, group: str, value: str, tie: str, out: str) -> DataFrame:
-    """Ranks by position in a stable order, from 0 to 1; equal values don't share one, and a lone row has 0.5."""
-    w = Window.partitionBy(group).orderBy(value, tie)
-    n = F.count("*").over(Window.partitionBy(group))
-    return rows.withColumn(out, F.when(n > 1, (F.row_number().over(w) - 1) / (n - 1)).otherwise(0.5))
+def position_ranks(rows: DataFrame, group: str, value: str, tie: str, out: str, parts: int = 64) -> DataFrame:
+    """Ranks by position in a stable order, from 0 to 1; equal values don't share one, and a lone row has 0.5. Nulls come first.
+
+    A group is cut into ranges of values first, by approximate quantiles: a row's rank is its place in its range and how
+    many rows the ranges before have, so that a large group isn't sorted by one task. The cuts decide the work only, not the result."""
+    shares = [k / parts for k in range(1, parts)]
+    cuts = rows.groupBy(F.col(group).alias("__g")).agg(F.percentile_approx(value, shares, 1000).alias("__cuts"), F.count("*").alias("__n"))
+    dealt = rows.join(cuts, F.col(group).eqNullSafe(F.col("__g")))
+    dealt = dealt.withColumn("__part", F.size(F.filter(F.coalesce("__cuts", F.array()), lambda x: x < F.col(value)))).drop("__g", "__cuts")
+    sizes = dealt.groupBy(F.col(group).alias("__g"), F.col("__part").alias("__p")).agg(F.count("*").alias("__size"))
+    ahead = Window.partitionBy("__g").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("__g", "__p", F.coalesce(F.sum("__size").over(ahead), F.lit(0)).alias("__before"))
+    placed = dealt.join(sizes, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__part") == F.col("__p")))
+    place = F.col("__before") + F.row_number().over(Window.partitionBy(group, "__part").orderBy(value, tie)) - 1
+    ranked = placed.withColumn(out, F.when(F.col("__n") > 1, place / (F.col("__n") - 1)).otherwise(0.5))
+    return ranked.drop("__n", "__part", "__g", "__p", "__before")
 
 
 def level_features(series: DataFrame, key: str, rate: float) -> DataFrame:

@@ -407,6 +407,46 @@ def level_gain(spark, d):
     return vectors(spark, d).select("vec_id", F.round(arrays.gain(F.slice("a", 1, 8), F.col("a"), F.lit(40), 20, 3.0), 6).alias("gain"))
 
 
+_TONE = """q AS (SELECT vec_id, a, unnest(range(0, 49, 8)) AS st FROM v),
+m AS (SELECT vec_id, st, a, list_sum(list_transform(a[st + 1 : st + 16], lambda x: x * x)) AS e FROM q),
+t AS (SELECT vec_id, any_value(a) AS a, arg_min(a[st + 1 : st + 16], struct_pack(e := e, st := st)) AS w FROM m GROUP BY vec_id),
+u AS (SELECT vec_id, a, list_transform(range(0, 14), lambda i: CASE WHEN i = 0 THEN w[15] WHEN i = 1 THEN w[2] ELSE w[i + 1] END) AS u FROM t)"""
+
+
+def _edges(x: str, n: str, rise: str, head: bool, tail: bool) -> str:
+    """The list x of n values, its first or last six under a curve: rise is that of k, counted from 0."""
+    at = lambda k: f"CASE WHEN {k} < 6 THEN {rise.format(k=k)} ELSE 1.0 END"
+    parts = [at("(i - 1)")] * head + [at(f"({n} - i)")] * tail
+    return f"list_transform({x}, lambda x, i: x * {' * '.join(f'({p})' for p in parts)})"
+
+
+def _gap(n: str) -> str:
+    return f"list_transform(range(0, {n}), lambda i: u[CAST((i + 3) % 14 AS INT) + 1])"
+
+
+_DECAY, _COSINE = "((exp(-5.0 * (5 - {k}) / 5.0) - exp(-5.0)) / (1 - exp(-5.0)))", "(0.5 * (1 - cos(pi() * {k} / 5.0)))"
+_RMS = lambda x: f"sqrt(list_sum(list_transform({x}, lambda x: x * x)) / len({x}))"
+
+
+@query(f"""WITH {VEC}, {_TONE}, g AS (SELECT *, least({_RMS("a[5:24]")} / {_RMS("a[1:8]")} * pow(10, 3.0 / 20), list_aggregate(list_transform(a, lambda x: abs(x)), 'quantile_cont', 0.999) * 1.5 / list_max(list_transform(a[1:8], lambda x: abs(x)))) AS gain FROM u),
+p AS (SELECT *, list_transform(a[1:8], lambda x: x * gain) AS ins FROM g),
+r AS (SELECT vec_id, {_edges("a[1:24]", "24", _DECAY, False, True)} || {_gap("3")} || {_edges("ins", "8", _DECAY, True, True)} || {_gap("5")} || {_edges("a[25:64]", "40", _DECAY, True, False)} AS s FROM p) SELECT vec_id, {_DIGEST} FROM r""")
+def splice_tempo(spark, d):
+    """An insert at the level of what is before it, between gaps of the recording's own background."""
+    insert = F.slice("a", 1, 8)
+    gain = arrays.gain(insert, F.col("a"), F.lit(24), 20, 3.0)
+    rows = vectors(spark, d).withColumn("insert", arrays.once(gain, lambda g: F.transform(insert, lambda x: x * g)))
+    return digested(rows, arrays.spliced(F.col("a"), F.col("insert"), F.lit(24), (F.lit(3), F.lit(5)), 6, F.lit(0.25), 16))
+
+
+@query(f"""WITH {VEC}, {_TONE}, b AS (SELECT *, {_RMS("a[19:24]")} / {_RMS("a[1:24]")} > 0.2 AS b1, {_RMS("a[41:46]")} / {_RMS("a[41:48]")} > 0.2 AS b2, {_RMS("a[43:48]")} / {_RMS("a[41:48]")} > 0.2 AS b3, {_RMS("a[25:30]")} / {_RMS("a[25:64]")} > 0.2 AS b4 FROM u),
+i1 AS (SELECT *, CASE WHEN b2 THEN {_edges("a[41:48]", "8", _COSINE, True, False)} ELSE a[41:48] END AS j FROM b),
+r AS (SELECT vec_id, CASE WHEN b1 THEN {_edges("a[1:24]", "24", _COSINE, False, True)} ELSE a[1:24] END || CASE WHEN b1 THEN {_gap("9")} ELSE {_gap("2")} END
+  || CASE WHEN b3 THEN {_edges("j", "8", _COSINE, False, True)} ELSE j END || CASE WHEN b3 THEN {_gap("9")} ELSE {_gap("2")} END || CASE WHEN b4 THEN {_edges("a[25:64]", "40", _COSINE, True, False)} ELSE a[25:64] END AS s FROM i1) SELECT vec_id, {_DIGEST} FROM r""")
+def splice_adaptive(spark, d):
+    return digested(vectors(spark, d), arrays.adapted(F.col("a"), F.slice("a", 41, 8), F.lit(24), 6, 2, 9, F.lit(0.25), 16))
+
+
 # ---- texts -----------------------------------------------------------------------------------------------------------
 
 

@@ -144,6 +144,16 @@ def test_pick_follows_weights(spark, attempts):
     assert {(r.row, r.picked) for r in again.collect()} == {(r.row, r.picked) for r in got}
 
 
+def test_ranks_of_large_groups(spark):
+    """Ranges give the ranks of a plain sort: ties, nulls, lone rows and a group that holds most rows."""
+    rng = np.random.default_rng(7)
+    data = [(i, "big", float(v)) for i, v in enumerate(rng.integers(0, 40, 3000))] + [(5000 + i, None, None if i % 3 else float(i)) for i in range(20)] + [(9000, "one", 1.0)]
+    got = {r.i: r.rank for r in series.position_ranks(spark.createDataFrame(data, "i long, g string, v double").repartition(5), "g", "v", "i", "rank", parts=8).collect()}
+    for g in ("big", None, "one"):
+        own = sorted((r for r in data if r[1] == g), key=lambda r: (r[2] is not None, r[2] or 0, r[0]))
+        assert all(abs(got[r[0]] - (k / (len(own) - 1) if len(own) > 1 else 0.5)) < 1e-12 for k, r in enumerate(own)), g
+
+
 def test_sample_is_a_plain_draw(spark):
     rows = spark.range(5000).select(F.col("id").alias("item"), F.when(F.col("id") < 30, "small").when(F.col("id") < 40, None).otherwise("large").alias("g"))
     got = select.sample(rows, "g", "item", 48, "5", parts=16).collect()
