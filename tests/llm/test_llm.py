@@ -481,6 +481,78 @@ def test_near_duplicates_by_text(spark):
     assert got == Counter([(1, a), (1, b), (2, d), *one, (9, e), (8, f), (7, ""), (6, ""), (5, None), (5, ""), (5, "#")])
 
 
+def test_language_brute_force(spark):
+    """Posteriors by the formulas in the module's docstring, with plain loops and dictionaries."""
+    from lacuna.llm.charcodes import CLASSES, TABLE
+
+    random.seed(12)
+    letters = {"aa": "abcdef", "bb": "defghi", "cc": "ghijéü"}
+    word = lambda k: "".join(random.choices(letters[k], k=random.randint(2, 6)))
+    data = []
+    for i in range(60):
+        k = random.choice(["aa", "aa", "bb", "cc"])
+        said = random.choice([k, k, k.upper() + "-XX", None, random.choice(["aa", "bb", "cc"])])
+        data.append((i, " ".join(word(k) for _ in range(random.randint(1, 12))), said, random.choice(["site1", "site2", "other7", "a.b.org", None])))
+    data += [(90, "12 34 ##", "aa", "site1"), (91, None, "bb", "site2"), (92, "", None, None)]
+    classes = lambda t: [0, 0] + [int(TABLE[b]) for b in (t or "").encode()]
+    tag = lambda x: x.lower().split("-")[0] if x else None
+    domain = lambda h: (".".join(h.split(".")[-2:]) if "." in h else h.rstrip("0123456789")) if h else ""
+    names = sorted({tag(x) for _, _, x, _ in data} - {None})
+    tri = {k: Counter() for k in names}
+    for _, t, x, _ in data:
+        c = classes(t)
+        if tag(x):
+            tri[tag(x)].update(tuple(c[j : j + 3]) for j in range(len(c) - 2))
+    ends = {k: (Counter(), Counter(), Counter()) for k in names}
+    for k in names:
+        for g, n in tri[k].items():
+            for part, at in zip(ends[k], (g[2:], g[1:], g[1:2])):
+                part[at] += n
+    firsts = {k: Counter() for k in names}
+    for k in names:
+        for g, n in tri[k].items():
+            firsts[k][g[:2]] += n
+
+    def loglik(k, t):
+        c, total = classes(t), 0.0
+        one_n, two_n, mid_n = ends[k]
+        every = sum(tri[k].values())
+        for j in range(len(c) - 2):
+            g = tuple(c[j : j + 3])
+            one = (one_n[g[2:]] + 0.5) / (every + 0.5 * CLASSES)
+            two = (two_n[g[1:]] + 8 * one) / (mid_n[g[1:2]] + 8)
+            total += np.log((tri[k][g] + 8 * two) / (firsts[k][g[:2]] + 8))
+        return total
+
+    has = lambda t: any(1 <= x <= 26 or x >= 31 for x in classes(t)[2:])
+    best = {i: max(names, key=lambda k: loglik(k, t)) for i, t, _, _ in data if has(t)}
+    by = {w: defaultdict(Counter) for w in ("host", "domain", "said")}
+    for i, _, x, h in data:
+        if i in best:
+            by["host"][h or ""][best[i]] += 1
+            by["domain"][domain(h)][best[i]] += 1
+            if tag(x):
+                by["said"][tag(x)][best[i]] += 1
+    whole = {k: 1 + sum(b == k for b in best.values()) for k in names}
+    whole = {k: v / sum(whole.values()) for k, v in whole.items()}
+    smooth = lambda n, prior, k: (n[k] + 20 * prior) / (sum(n.values()) + 20)
+    got = {r.doc_id: r for r in language.identify_documents(spark.createDataFrame(data, "doc_id long, text string, lang string, source string").repartition(3)).collect()}
+    for i, t, x, h in data:
+        if not has(t):
+            assert got[i].language is None and not got[i].language_kept
+            continue
+        total = {}
+        for k in names:
+            prior = smooth(by["host"][h or ""], smooth(by["domain"][domain(h)], whole[k], k), k)
+            total[k] = 0.1 * loglik(k, t) + np.log(prior)
+            if tag(x):
+                total[k] += np.log((by["said"][tag(x)][k] + 0.5 / len(names)) / (0.5 + sum(c[k] for c in by["said"].values())))
+        top = max(names, key=total.get)
+        p = 1 / sum(np.exp(v - total[top]) for v in total.values())
+        assert got[i].language == top and abs(got[i].language_posterior - p) < 1e-4
+        assert got[i].language_kept == (p >= 0.5 and loglik(top, t) / len(t.encode()) >= -np.log(CLASSES))
+
+
 def test_every_declared_language(spark):
     """150 languages of their own letters each get their own; blocks and tags don't change that."""
     random.seed(4)
