@@ -51,10 +51,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 65536:
             raise ValueError("16-bit ids are too small for this vocabulary")
-        made = json.loads(self.tokenizer.to_str())
-        split = made.get("pre_tokenizer") or {}
+        split = json.loads(self.tokenizer.pre_tokenizer.__getstate__()) if self.tokenizer.pre_tokenizer else {}
         #: Whether LATIN_SPLIT is what this file's pre-split does; else all texts go to the tokenizer whole.
-        self.known_split = made.get("normalizer") is None and {k: v for k, v in split.items() if k != "trim_offsets"} == {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.known_split = self.tokenizer.normalizer is None and {k: v for k, v in split.items() if k != "trim_offsets"} == {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.keep, self.known, self.before = keep, {}, {}
 
