@@ -455,10 +455,10 @@ def _draw(what: str) -> str:
     return U.format(f"'3'{NUL}CAST(o_orderkey AS VARCHAR){NUL}CAST(a AS VARCHAR){NUL}'{what}'")
 
 
-PICK = f"""{CLIPS}, dealt AS (SELECT *, CAST(least(greatest(floor(rank * 16), 0), 15) AS INT) AS c0, CAST(least(greatest(floor(log2(CAST(p_size AS DOUBLE)) / 0.5), 0), 11) AS INT) AS c1 FROM ranked),
+PICK = f"""{CLIPS}, dealt AS (SELECT *, CAST(least(greatest(floor(rank * 8), 0), 7) AS INT) AS c0, CAST(least(greatest(floor(log2(CAST(p_size AS DOUBLE))), 0), 5) AS INT) AS c1 FROM ranked),
 pos AS (SELECT *, row_number() OVER (PARTITION BY p_type, c0, c1 ORDER BY p_partkey) - 1 AS pos, count(*) OVER (PARTITION BY p_type, c0, c1) AS n FROM dealt),
-grid AS (SELECT DISTINCT p_type, c0, c1, n, CASE WHEN c0 > 0 THEN c0 / 16.0 ELSE -1e9 END AS lo0, CASE WHEN c0 < 15 THEN (c0 + 1) / 16.0 ELSE 1e9 END AS hi0,
-  CASE WHEN c1 > 0 THEN c1 * 0.5 ELSE -1e9 END AS lo1, CASE WHEN c1 < 11 THEN (c1 + 1) * 0.5 ELSE 1e9 END AS hi1 FROM pos),
+grid AS (SELECT DISTINCT p_type, c0, c1, n, CASE WHEN c0 > 0 THEN c0 / 8.0 ELSE -1e9 END AS lo0, CASE WHEN c0 < 7 THEN (c0 + 1) / 8.0 ELSE 1e9 END AS hi0,
+  CASE WHEN c1 > 0 THEN c1 * 1.0 ELSE -1e9 END AS lo1, CASE WHEN c1 < 5 THEN c1 + 1.0 ELSE 1e9 END AS hi1 FROM pos),
 w AS (SELECT need.*, c0, c1, n, greatest(lo0 - target, target - hi0, 0) / 0.35 + greatest(lo1 - log2(CAST(tempo AS DOUBLE)), log2(CAST(tempo AS DOUBLE)) - hi1, 0) AS bound FROM need JOIN grid USING (p_type)),
 cum AS (SELECT *, sum(n * exp(-bound)) OVER (PARTITION BY o_orderkey ORDER BY c0, c1 ROWS UNBOUNDED PRECEDING) AS hi FROM w),
 cells AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY o_orderkey ORDER BY c0, c1), 0) AS lo, max(hi) OVER (PARTITION BY o_orderkey) AS total FROM cum),
@@ -472,7 +472,7 @@ race AS (SELECT o_orderkey, p_partkey, {COST} AS cost, ln(-ln({U.format("'3'" +
 
 @query(f"WITH {PICK} SELECT o_orderkey, picked, round(cost, 6) AS cost FROM best UNION ALL SELECT o_orderkey, arg_min(p_partkey, k), round(arg_min(cost, k), 6) FROM race GROUP BY o_orderkey")
 def weighted_pick(spark, d):
-    axes = [select.Axis(F.col("rank"), F.col("target"), 1 / select.INTENSITY_TOLERANCE, 0.0, 1 / 16, 16), select.Axis(F.log2(F.col("p_size").cast("double")), F.log2(F.col("tempo").cast("double")), 1.0, 0.0, 0.5, 12)]
+    axes = [select.Axis(F.col("rank"), F.col("target"), 1 / select.INTENSITY_TOLERANCE, 0.0, 1 / 8, 8), select.Axis(F.log2(F.col("p_size").cast("double")), F.log2(F.col("tempo").cast("double")), 1.0, 0.0, 1.0, 6)]
     return select.weighted_pick(need_rows(spark, d), clip_rows(spark, d), "p_type", "o_orderkey", "p_partkey", clip_cost(), "3", axes).withColumn("cost", F.round("cost", 6))
 
 
