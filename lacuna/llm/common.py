@@ -74,12 +74,39 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/lacuna/{name}-{uuid.uuid4().hex}"
 
 
+#: The folders of this driver's written tables.
+WRITTEN: set[str] = set()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: cuts the lineage, survives lost executors."""
+    """df as a table in the shared folder: cuts the lineage, survives lost executors. It stays until discard() or discard_all()."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    WRITTEN.add(path)
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes what written() wrote, once nothing that is still to run reads it."""
+    path = table.__dict__.get("written_to")
+    if path:
+        _delete(table.sparkSession, path)
+        WRITTEN.discard(path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Deletes all tables that this driver wrote: for callers whose results are stored. Results that weren't can't be computed any more."""
+    for path in [*WRITTEN]:
+        _delete(spark, path)
+    WRITTEN.clear()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def filesystem(url: str):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lacuna.llm.common import written
+from lacuna.llm.common import discard, written
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -16,6 +16,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     e = written(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "stars")
     was = None
     for _ in range(rounds):
+        before = e
         # large star: what lies above a node moves to the node's least neighbour
         both = e.union(e.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
@@ -25,6 +26,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         moved = e.join(least, e["u"] == least["k"])
         e = moved.select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*").where("u <> v").distinct()
         e = written(e, "stars")
+        discard(before)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == was:
             break

@@ -391,6 +391,20 @@ def test_ngram_join_edges(docs, none):
     assert ngram_join.classify(none).count() == 0
 
 
+def test_written_tables_go(spark):
+    import os
+
+    from lacuna.llm import common
+
+    a, b = (common.written(spark.range(5), "t") for _ in range(2))
+    folder = lambda t: t.written_to.removeprefix("file:").replace("//", "/")
+    common.discard(a)
+    assert not os.path.exists(folder(a)) and b.count() == 5
+    common.discard_all(spark)
+    assert not os.path.exists(folder(b)) and not common.WRITTEN
+    common.discard(spark.range(3))
+
+
 def test_components(spark):
     e = [(i, i + 1) for i in range(0, 40) if i % 10 != 9] + [(99, 50), (50, 60), (60, 60), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(e, "u long, v long")).collect()}
