@@ -6,8 +6,9 @@ has the shard. Training shards by a pair's first word, which gives the totals, d
 weights of histories, and then by its second word, which gives the continuation counts. Scoring sends
 a chunk's distinct pairs, and which of its documents have them how often, to the shards of the second words; what comes back is
 a sum for each document. Neither the model nor a list of words is ever held whole by a task or the driver: what is
-gathered grows with the input. Words are sent as 63-bit hashes, but for the 65,533 most frequent trusted ones, which have
-short codes that all tasks know; that changes the size of the rows alone, not the result.
+gathered grows with the input. Words are sent as 44-bit hashes (of 10**10 different words one in 1,800 shares its hash with another), but for up to 65,533
+frequent trusted ones, which have short codes that all tasks know; which words those are changes the size of the rows, not the result.
+Sums travel in units of 2**-12, so that they don't depend on their order.
 
 The trusted texts fall into two folds by their own hash, and a document of one fold, trusted or not, is judged by
 the model of the other: no document is judged by counts of its own or of its exact copies, so that thresholds from
@@ -24,6 +25,7 @@ see the same rows, and a task that is run again the same partition, as tables th
 from __future__ import annotations
 
 import pickle
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,11 @@ from lacuna.llm.common import discard, maybe_broadcast, mix, shuffle_parts, tidy
 #: Codes of what is no word: the edge before a text, and the marks of corrections to a document's sum.
 EDGE, TAIL, HEAD = 0, 1, 2
 FREQUENT = 65_533
+#: Bits of a word's hash.
+BITS = 44
+#: Parts of one in which sums are counted.
+PARTS = 4096
+CODEC = pa.Codec("zstd", compression_level=6)
 #: Words and documents of a chunk at most, unless one text alone is longer.
 CHUNK_WORDS, CHUNK_DOCS = 5_000_000, 65_536
 PACKED = "shard int, kind int, chunk long, units int, split int, data binary"
@@ -50,12 +57,12 @@ def squeeze(*arrays: np.ndarray) -> bytes:
         head.append((x.dtype.str, len(x)))
         body.append(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes())
     raw = b"".join(body)
-    return pickle.dumps((head, len(raw), pa.compress(raw, codec="zstd", asbytes=True)))
+    return pickle.dumps((head, len(raw), CODEC.compress(raw, asbytes=True)))
 
 
 def unsqueeze(data: bytes) -> list[np.ndarray]:
     head, size, packed = pickle.loads(data)
-    raw, at, out = np.frombuffer(pa.decompress(packed, size, codec="zstd", asbytes=True), np.uint8), 0, []
+    raw, at, out = np.frombuffer(CODEC.decompress(packed, size, asbytes=True), np.uint8), 0, []
     for kind, n in head:
         dtype = np.dtype(kind)
         planes = raw[at : at + n * dtype.itemsize].reshape(dtype.itemsize, n)
@@ -74,20 +81,29 @@ def lengths(begin: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(begin, n))
 
 
+def steps(x: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Differences within runs that begin at the given places, where the values themselves stand."""
+    x = x.astype(np.uint64, copy=False)
+    out = np.diff(x, prepend=x[:1])
+    out[begin] = x[begin]
+    return out
+
+
+def unstepped(step: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    run = np.cumsum(step)
+    return run - np.repeat(run[begin] - step[begin], lengths(begin, len(step)))
+
+
 def put_pairs(a: np.ndarray, b: np.ndarray, *more: np.ndarray) -> bytes:
     """Pairs of codes in order, with further arrays."""
     g = starts(a)
-    step = np.diff(b, prepend=b[:1])
-    step[g] = b[g]
-    return squeeze(np.diff(a[g], prepend=np.uint64(0)), lengths(g, len(a)), step, *more)
+    return squeeze(np.diff(a[g], prepend=np.uint64(0)), lengths(g, len(a)), steps(b, g), *more)
 
 
 def get_pairs(data: bytes) -> list[np.ndarray]:
     firsts, n, step, *more = unsqueeze(data)
     n = n.astype(np.int64)
-    g = np.cumsum(n) - n
-    run = np.cumsum(step)
-    return [np.repeat(np.cumsum(firsts), n), run - np.repeat(run[g] - step[g], n), *more]
+    return [np.repeat(np.cumsum(firsts), n), unstepped(step, np.cumsum(n) - n), *more]
 
 
 def shards_of(codes: np.ndarray, shards: int) -> np.ndarray:
@@ -100,21 +116,36 @@ def by_shard(a: np.ndarray, b: np.ndarray, unit: np.ndarray, codes: np.ndarray,
     order_a, order_b = np.lexsort((codes, at)), np.argsort(codes)
     place_a, place_b = np.empty(size, np.int64), np.empty(size, np.int64)
     place_a[order_a] = place_b[order_b] = np.arange(size)
-    key, n = np.unique((place_a[a] * size + place_b[b]) * units + unit, return_counts=True)
-    pair, unit = np.divmod(key, units)
+    key = place_a[a]
+    for factor, x in ((size, place_b[b]), (units, unit)):
+        key *= factor
+        key += x
+    del a, b, x, unit  # tokens are many: few arrays of them at a time
+    key.sort()
+    new = starts(key)
+    n = lengths(new, len(key)).astype(np.int32)
+    key = key[new]
+    pair = key // units
+    unit = (key - pair * units).astype(np.int32)
+    del key
     new = starts(pair)
     first, second = np.divmod(pair[new], size)
     first, second, per = order_a[first], codes[order_b[second]], lengths(new, len(pair))
     cut = starts(at[first])
     for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(new)]):
         e = slice(new[lo], new[hi] if hi < len(new) else len(pair))
-        yield int(at[first[lo]]), put_pairs(codes[first[lo:hi]], second[lo:hi], per[lo:hi], unit[e], n[e])
+        yield int(at[first[lo]]), put_pairs(codes[first[lo:hi]], second[lo:hi], per[lo:hi], steps(unit[e], new[lo:hi] - new[lo]), n[e])
 
 
 def entries(data: bytes) -> tuple[np.ndarray, ...]:
     """What by_shard packed: codes of pairs, the pair of each entry, its unit and count."""
-    a, b, per, unit, n = get_pairs(data)
-    return a, b, np.repeat(np.arange(len(a)), per.astype(np.int64)), unit.astype(np.int64), n.astype(np.int64)
+    a, b, per, step, n = get_pairs(data)
+    per = per.astype(np.int64)
+    return a, b, np.repeat(np.arange(len(a)), per), unstepped(step, np.cumsum(per) - per).astype(np.int64), n.astype(np.int64)
+
+
+def hashed(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word) >> (64 - BITS)
 
 
 class Codes(dict):
@@ -124,8 +155,8 @@ class Codes(dict):
         self.ranks, self.codes = ranks, [EDGE, TAIL, HEAD]
 
     def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word) >> 1
-        self.codes.append(self.ranks.get(h) or h | 1 << 63)
+        h = hashed(word)
+        self.codes.append(self.ranks.get(h) or h | 1 << BITS)
         self[word] = len(self.codes) - 1
         return self[word]
 
@@ -162,23 +193,22 @@ def before(numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def frequent(texts: DataFrame) -> np.ndarray:
-    """Hashes of the most frequent words, FREQUENT of them at most."""
+    """Hashes of the most frequent words, FREQUENT of them at most. A word that a task sees less than four times among 500,000 different ones is left out there, as a short code saves it little."""
 
     def count(batches):
         tidy()
-        from collections import Counter
-
         found: Counter[bytes] = Counter()
 
         def rows():
-            return pd.DataFrame({"word": [xxhash.xxh3_64_intdigest(w) >> 1 for w in found], "n": list(found.values())})
+            often = [(hashed(w), n) for w, n in found.items() if n > 3]
+            found.clear()
+            return pd.DataFrame(often, columns=["word", "n"])
 
         for pdf in batches:
             for text in pdf["text"]:
                 found.update(words_of(text))
-                if len(found) > 1_000_000:
+                if len(found) > 500_000:
                     yield rows()
-                    found.clear()
         yield rows()
 
     top = texts.mapInPandas(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(FREQUENT)
@@ -238,33 +268,69 @@ def count_pairs(texts: DataFrame, ranks, shards: int) -> DataFrame:
     return sent.mapInPandas(take, "shard int, data binary")
 
 
-def totals(pairs: DataFrame) -> list[dict] | None:
+def totals(pairs: DataFrame, shards: int) -> list[dict] | None:
     """The numbers of each fold's model (that is, of the other fold's texts): discounts d2, d1, how many pairs, and the probability of an unknown word; None without trusted words."""
 
-    def own(batches):
+    def counts(x):
+        return np.bincount(np.minimum(x, 5).astype(np.int64), minlength=6)[1:]
+
+    def split(batches):
+        # of each shard of first words: counts of counts, and how many first words each word follows, by its own shard
+        tidy()
         for pdf in batches:
             for data in pdf["data"]:
                 _, b, c0, c1 = get_pairs(data)
-                word, at = np.unique(b, return_inverse=True)
-                cc = [np.bincount(np.minimum(c, 5).astype(np.int64), minlength=6)[1:].tolist() for c in (c0, c1, c0 + c1)]
-                k = [np.bincount(at, c > 0, len(word)).astype(np.int64) for c in (c0, c1, c0 + c1)]
-                yield pd.DataFrame({"word": word.view(np.int64), "k0": k[0], "k1": k[1], "k2": k[2], "cc": [None] * len(word)})
-                yield pd.DataFrame({"word": [0], "k0": [0], "k1": [0], "k2": [0], "cc": [sum(cc, [])]})
-
-    rows = pairs.mapInPandas(own, "word long, k0 long, k1 long, k2 long, cc array<long>")
-    counted = [F.sum(F.coalesce(F.col("cc")[i], F.lit(0))).alias(f"c{i}") for i in range(15)]
-    words = rows.groupBy("word").agg(F.sum("k0").alias("k0"), F.sum("k1").alias("k1"), F.sum("k2").alias("k2"), *counted)
-    sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(15)]
-    n = words.agg(*sums, *[F.sum(F.when(F.col(f"k{f}") == i, 1).otherwise(0)).alias(f"n{f}{i}") for f in range(3) for i in range(1, 5)], *[F.count_if(F.col(f"k{f}") > 0).alias(f"v{f}") for f in range(3)], *[F.sum(f"k{f}").alias(f"t{f}") for f in range(3)]).first()
-    if not n["v2"]:
+                b, at = np.unique(b, return_inverse=True)
+                at_shard = shards_of(b, shards)
+                order = np.argsort(at_shard, kind="stable")
+                follows = [np.bincount(at, c > 0, len(b)).astype(np.int64)[order] for c in (c0, c1, c0 + c1)]
+                b, at_shard = b[order], at_shard[order]
+                cut = starts(at_shard).tolist()
+                out = [(int(at_shard[lo]), squeeze(np.diff(b[lo:hi], prepend=np.uint64(0)), *(k[lo:hi] for k in follows)), None) for lo, hi in zip(cut, [*cut[1:], len(b)])]
+                out.append((0, None, np.concatenate([counts(c) for c in (c0, c1, c0 + c1)]).tolist()))
+                yield pd.DataFrame(out, columns=["shard", "data", "n"])
+
+    def joined(parts):
+        b, *follows = (np.concatenate(x) for x in zip(*parts))
+        b, at = np.unique(b, return_inverse=True)
+        return [b, *(np.bincount(at, k, len(b)).astype(np.int64) for k in follows)]
+
+    def add(batches):
+        tidy()
+        shard, parts = None, []
+
+        def row():
+            _, *follows = joined(parts)
+            return pd.DataFrame({"n": [np.concatenate([np.zeros(15, np.int64), *(np.append(counts(k), k.sum()) for k in follows)]).tolist()]})
+
+        for pdf in batches:
+            for s, data, n in zip(pdf["shard"], pdf["data"], pdf["n"]):
+                if n is not None:
+                    yield pd.DataFrame({"n": [[*n, *[0] * 18]]})
+                    continue
+                if s != shard and parts:
+                    yield row()
+                    parts = []
+                shard = s
+                step, *follows = unsqueeze(data)
+                parts.append((np.cumsum(step), *follows))
+                if sum(len(x[0]) for x in parts[1:]) > 2_000_000:
+                    parts = [joined(parts)]
+        if parts:
+            yield row()
+
+    rows = pairs.mapInPandas(split, "shard int, data binary, n array<long>").repartition(shards, "shard").sortWithinPartitions("shard")
+    n = rows.mapInPandas(add, "n array<long>").agg(*[F.sum(F.col("n")[i]) for i in range(33)]).first()
+    if not n[32]:
         return None
+    both = n[20] and n[26]  # pairs in each fold
     models = []
-    for f in (1, 0) if n["v0"] and n["v1"] else (2, 2):
-        once, twice, words, pairs_of = n[f"n{f}1"], n[f"n{f}2"], n[f"v{f}"], n[f"t{f}"]
-        d1 = discounts([n[f"n{f}{i}"] for i in range(1, 5)])
+    for f in (1, 0) if both else (2, 2):
+        *words, of_pairs = n[15 + 6 * f : 21 + 6 * f]
+        d1 = discounts(words[:4])
         # what the discounts of all words leave, in equal parts for the model's words and one unknown word
-        unseen = float(d1 @ [0, once, twice, words - once - twice]) / pairs_of / (words + 1)
-        models.append({"fold": f, "d2": discounts([n[f"c{5 * f + i}"] for i in range(4)]), "d1": d1, "pairs": pairs_of, "unseen": unseen})
+        unseen = float(d1 @ [0, words[0], words[1], sum(words[2:])]) / of_pairs / (sum(words) + 1)
+        models.append({"fold": f, "d2": discounts(n[5 * f : 5 * f + 4]), "d1": d1, "pairs": of_pairs, "unseen": unseen})
     return models
 
 
@@ -287,11 +353,11 @@ def model_rows(pairs: DataFrame, models: list[dict], shards: int) -> DataFrame:
                         over.append(np.where(n > 0, (n - d) / np.repeat(held, lengths(g, len(a))), -1.0).astype(np.float32))
                 out = [(shard, 0, 0, 0, 0, squeeze(a[g], *gamma))]
                 at = shards_of(b, shards)
-                order = np.lexsort((a, b, at))
+                order = np.argsort(at, kind="stable")  # pairs stay in order of first words, whose weights then repeat
                 a, b, at, over = a[order], b[order], at[order], [x[order] for x in over]
                 cut = starts(at).tolist()
                 for lo, hi in zip(cut, [*cut[1:], len(a)]):
-                    out.append((int(at[lo]), 1, 0, 0, 0, put_pairs(b[lo:hi], a[lo:hi], over[0][lo:hi], over[1][lo:hi])))
+                    out.append((int(at[lo]), 1, 0, 0, 0, put_pairs(a[lo:hi], b[lo:hi], over[0][lo:hi], over[1][lo:hi])))
                 yield pd.DataFrame(out, columns=["shard", "kind", "chunk", "units", "split", "data"])
 
     return pairs.mapInPandas(send, PACKED)
@@ -308,7 +374,7 @@ def questions(rows: DataFrame, ranks, shards: int) -> DataFrame:
         for found, numbers, sizes, codes in chunks(batches, ranks.value):
             chunk += 1
             order = sorted(range(len(found)), key=lambda i: found[i][-1])  # documents of fold 0 first
-            place = np.empty(len(found), np.int64)
+            place = np.empty(len(found), np.int32)
             place[order] = np.arange(len(found))
             split = sum(r[-1] == 0 for r in found)
             docs = pa.table({
@@ -322,9 +388,10 @@ def questions(rows: DataFrame, ranks, shards: int) -> DataFrame:
             if len(some):
                 # a document's histories are the edge and all its words but the last one
                 last = numbers[np.cumsum(sizes)[some] - 1]
-                a = np.concatenate([numbers, last, np.full(len(some), EDGE)])
-                b = np.concatenate([before(numbers, sizes), np.full(len(some), TAIL), np.full(len(some), HEAD)])
+                a = np.concatenate([numbers, last, np.full(len(some), EDGE, np.int32)])
+                b = np.concatenate([before(numbers, sizes), np.full(len(some), TAIL, np.int32), np.full(len(some), HEAD, np.int32)])
                 unit = np.concatenate([np.repeat(place, sizes), place[some], place[some]])
+                del numbers
                 out += [(s, 2, chunk, len(found), split, data) for s, data in by_shard(a, b, unit, codes, len(found), shards)]
             yield pd.DataFrame(out, columns=["shard", "kind", "chunk", "units", "split", "data"])
 
@@ -347,7 +414,7 @@ class Shard:
         self.models = models
         self.history, *self.gamma = unsqueeze(histories[0]) if histories else [np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)]
         got = [get_pairs(x) for x in pairs]
-        w, h, *over = [np.concatenate(x) for x in zip(*got)] if got else [np.zeros(0, np.uint64)] * 2 + [np.zeros(0)] * 2
+        h, w, *over = [np.concatenate(x) for x in zip(*got)] if got else [np.zeros(0, np.uint64)] * 2 + [np.zeros(0)] * 2
         self.words, at = np.unique(w, return_inverse=True)
         self.before, place = np.unique(h, return_inverse=True)
         key = at * len(self.before) + place
@@ -393,7 +460,8 @@ def answers(packed: DataFrame, models: list[dict], shards: int) -> DataFrame:
                         model, histories, pairs = Shard(models, histories, pairs), [], []
                     w, h, pair, unit, n = entries(data)
                     low, high = model.logs(w, h)
-                    out.append((int(chunk), s, squeeze(np.bincount(unit, np.where(unit < split, low[pair], high[pair]) * n, units).astype(np.float32))))
+                    total = np.rint(np.bincount(unit, np.where(unit < split, low[pair], high[pair]) * n, units) * PARTS).astype(np.int64)
+                    out.append((int(chunk), s, squeeze(np.array([total.min()], np.float64), total - total.min())))
             yield pd.DataFrame(out, columns=["chunk", "shard", "data"])
 
     def add(batches):
@@ -404,7 +472,7 @@ def answers(packed: DataFrame, models: list[dict], shards: int) -> DataFrame:
             pdf = docs.to_pandas()
             n = pdf.pop("n").to_numpy(np.float64)
             with np.errstate(invalid="ignore", divide="ignore"):
-                return pdf.assign(perplexity=np.where(n > 0, np.exp(np.minimum(-total / n, 700)), np.nan))
+                return pdf.assign(perplexity=np.where(n > 0, np.exp(np.minimum(-total / PARTS / n, 700)), np.nan))
 
         for pdf in batches:
             for s, data in zip(pdf["shard"], pdf["data"]):
@@ -412,9 +480,10 @@ def answers(packed: DataFrame, models: list[dict], shards: int) -> DataFrame:
                     if docs is not None:
                         yield rows()
                     docs = pa.ipc.open_stream(data).read_all()
-                    total = np.zeros(len(docs))
+                    total = np.zeros(len(docs), np.int64)
                 else:
-                    total += unsqueeze(data)[0]
+                    least, more = unsqueeze(data)
+                    total += more.astype(np.int64) + int(least[0])
         if docs is not None:
             yield rows()
 
@@ -428,7 +497,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame | None:
     shards = shuffle_parts(spark)
     ranks = spark.sparkContext.broadcast(frequent(trusted))  # FREQUENT numbers at most
     pairs = written(count_pairs(trusted, ranks, shards), "pairs")
-    models = totals(pairs)
+    models = totals(pairs, shards)
     if models is None:
         return None
     packed = model_rows(pairs, models, shards).union(questions(docs, ranks, shards))

@@ -202,7 +202,7 @@ def test_quality_brute_force(spark, folds, monkeypatch):
     want = sorted([(i, lang, perplexity(t)) for i, t, lang in data], key=key)
     assert len(got) == len(want) and bool(all(parts)) == folds
     for g, w in zip(got, want):
-        assert g[:2] == w[:2] and (g[2] == w[2] if w[2] is None else abs(g[2] - w[2]) < 1e-4 * w[2]), (g, w)
+        assert g[:2] == w[:2] and (g[2] == w[2] if w[2] is None else abs(g[2] - w[2]) < 1e-3 * w[2]), (g, w)
     good = sorted(p for i, _, p in want if i in ids and p)
     limit = good[int(np.ceil(0.8 * len(good))) - 1]
     assert all(r.kept == (r.perplexity is not None and r.perplexity <= limit * (1 + 1e-6)) for r in rows)
@@ -223,7 +223,7 @@ def test_quality_chunks(monkeypatch):
             assert (quality.shards_of(a, 4) == shard).all()
             for p, u, k in zip(pair, unit, n):
                 found[int(a[p]), int(b[p])] += int(k)
-    code = lambda w: quality.xxhash.xxh3_64_intdigest(w) >> 1 | 1 << 63
+    code = lambda w: quality.hashed(w) | 1 << quality.BITS
     words = [[code(w) for w in t.encode().split()] for t in texts if t]
     assert found == Counter(p for w in words for p in zip([quality.EDGE] + w, w))
 
