@@ -24,6 +24,8 @@ from array import array
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lacuna.llm.common import HELD, maybe_broadcast, tidy, written
@@ -37,11 +39,19 @@ LATIN_SPLIT = re.compile(
 )
 
 
+def taken(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs numbered `at` of flat, one after the other, and their sizes; size: of all runs."""
+    n = size[at]
+    place = np.repeat((np.cumsum(size) - size)[at] - (np.cumsum(n) - n), n)
+    place += np.arange(len(place))
+    return flat[place], n
+
+
 class Encoder:
     """Token ids of the tokenizer file as little-endian unsigned 16-bit bytes.
 
     The merges never cross a pre-split, so that a text's ids are those of its pieces; pieces are
-    encoded once and kept. Texts with characters beyond Latin-1 or a special token's string go to the
+    encoded once, many in one call, and kept. Texts with characters beyond Latin-1 or a special token's string go to the
     tokenizer whole."""
 
     def __init__(self, path: str, keep: int = 350_000):
@@ -55,7 +65,12 @@ class Encoder:
         #: Whether LATIN_SPLIT is what this file's pre-split does; else all texts go to the tokenizer whole.
         self.known_split = self.tokenizer.normalizer is None and {k: v for k, v in split.items() if k != "trim_offsets"} == {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.keep, self.known, self.before = keep, {}, {}
+        #: Words with their numbers; the ids of all of them, one after the other; how many ids each has.
+        self.keep, self.known, self.before = keep, self.none(), self.none()
+        #: Bytes of each token of a byte-level vocabulary, which has one character for each.
+        self.size = np.zeros(65536, np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.size[i] = len(token)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = [array("H", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -64,6 +79,29 @@ class Encoder:
                 x.byteswap()
         return [x.tobytes() for x in found]
 
+    @staticmethod
+    def none() -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+        return {}, np.zeros(0, "<u2"), np.zeros(0, np.int64)
+
+    def pieces(self, words: list[str], many: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of LATIN_SPLIT, one after the other, and how many each has. Where the split of a run of words gives them again, the run is encoded as one text."""
+        found, sizes = [], []
+        for k in range(0, len(words), many):
+            part = words[k : k + many]
+            text = "".join(part)
+            if LATIN_SPLIT.findall(text) == part and not any(s in text for s in self.special):
+                ids = np.frombuffer(self.whole([text])[0], "<u2")
+                ends, want = np.cumsum(self.size[ids]), np.cumsum(pc.binary_length(pa.array(part, pa.large_string())).to_numpy())
+                cut = np.searchsorted(ends, want)
+                if cut[-1] == len(ids) - 1 and (ends[cut] == want).all():
+                    found.append(ids)
+                    sizes.append(np.diff(cut, prepend=-1))
+                    continue
+            each = self.whole(part)
+            found.append(np.frombuffer(b"".join(each), "<u2"))
+            sizes.append(np.fromiter(map(len, each), np.int64, len(each)) // 2)
+        return np.concatenate(found), np.concatenate(sizes)
+
     def batch(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         step: list[tuple[int, list[str]]] = []
@@ -85,17 +123,36 @@ class Encoder:
         self._join(step, out)
         return out
 
+    def _add(self, words: list[str], ids: np.ndarray, n: np.ndarray) -> None:
+        known, flat, size = self.known
+        known.update(zip(words, range(len(known), len(known) + len(words))))
+        self.known = known, np.concatenate([flat, ids]), np.concatenate([size, n])
+
     def _join(self, step, out) -> None:
-        words = set().union(*[ws for _, ws in step])
-        known, before = self.known, self.before
-        if len(known) > self.keep:  # two generations: what is still in use moves on
-            self.known, self.before = known, before = {}, known
-        new = [w for w in words if w not in known]
-        known.update((w, before[w]) for w in new if w in before)
-        new = [w for w in new if w not in known]
-        known.update(zip(new, self.whole(new)))
+        words = pa.array([w for _, ws in step for w in ws], pa.large_string()).dictionary_encode()
+        if not len(words):
+            return
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known[0]) > self.keep:  # two generations: what is still in use moves on
+            self.known, self.before = self.none(), self.known
+        known, before = self.known[0], self.before[0]
+        new = [w for w in distinct if w not in known]
+        moved = [w for w in new if w in before]
+        if moved:
+            self._add(moved, *taken(*self.before[1:], np.fromiter(map(before.__getitem__, moved), np.int64, len(moved))))
+            new = [w for w in new if w not in before]
+        # words that begin with a space end where the next one begins
+        for part in ([w for w in new if w[0] == " "], [w for w in new if w[0] != " "]):
+            if part:
+                self._add(part, *self.pieces(part))
+        ids, n = taken(*self.known[1:], np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()])
+        raw, ends = ids.tobytes(), np.cumsum(n)
+        ends = np.concatenate([[0], ends * 2])
+        a = b = 0
         for i, ws in step:
-            out[i] = b"".join(map(known.__getitem__, ws))
+            b += len(ws)
+            out[i] = raw[ends[a] : ends[b]]
+            a = b
 
 
 @functools.cache

@@ -304,6 +304,17 @@ def test_packing_of_other_vocabularies(tmp_path):
     assert [np.frombuffer(x, "<u2").tolist() for x in e.batch(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_packing_encodes_runs_of_words(monkeypatch):
+    rng, e = random.Random(5), packing.Encoder(vocabulary_path(), keep=300)
+    texts = ["".join(rng.choice(["", " ", "  ", "\n"]) + "".join(rng.choices("aeinrst\xe9\xdf", k=rng.randint(1, 9))) + rng.choice(["", ".", "'s", "12", " '"]) for _ in range(200)) for _ in range(20)] + ["", " ", "<|endoftext|>", "\u65e5\u672c"]
+    calls, whole = [], e.whole
+    monkeypatch.setattr(e, "whole", lambda x: calls.extend(x) or whole(x))
+    for part in (texts[:8], texts[4:], texts):  # words move on between generations
+        assert e.batch(part) == whole(part)
+    words = {w for t in texts for w in packing.LATIN_SPLIT.findall(t)}
+    assert len({w for w in words if w[0] == " "}) > 500 and not {w for w in words if w[0] == " " and w[1:].isalpha()} & {*calls}
+
+
 def test_language(spark, docs, none):
     en, de = "the man and the woman are in the house with other people ", "der mann und die frau sind nicht in einem haus mit anderen "
     data = [(i, (en if i % 2 else de) * 3, "en" if i % 2 else "de", f"s{i % 2}") for i in range(40)] + [(90, de, "en", "s1"), (91, "12 34 ##", "en", "s1"), (92, None, None, None)]
