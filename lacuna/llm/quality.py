@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lacuna.llm.common import discard, maybe_broadcast, mix, shuffle_parts, tidy, words_of, written
+from lacuna.llm.common import discard, maybe_broadcast, mix, shuffle_parts, tidied, words_of, written
 
 #: Codes of what is no word: the edge before a text, and the marks of corrections to a document's sum.
 EDGE, TAIL, HEAD = 0, 1, 2
@@ -173,14 +173,16 @@ def chunks(batches, ranks: np.ndarray):
         for row in zip(*(pdf[c] for c in pdf.columns)):
             words = words_of(row[-1])
             if rows and (total + len(words) > CHUNK_WORDS or len(rows) == CHUNK_DOCS):
-                yield rows, np.concatenate(numbers), np.array(sizes), np.array(table.codes, np.uint64)
+                numbers = [np.concatenate(numbers)]
+                yield rows, numbers.pop(), np.array(sizes), np.array(table.codes, np.uint64)
                 table, rows, numbers, sizes, total = Codes(known), [], [], [], 0
             rows.append((*row[:-1], fold_of(row[-1])))
             numbers.append(np.fromiter(map(table.__getitem__, words), np.int32, len(words)))
             sizes.append(len(words))
             total += len(words)
     if rows:
-        yield rows, np.concatenate(numbers), np.array(sizes), np.array(table.codes, np.uint64)
+        numbers = [np.concatenate(numbers)]
+        yield rows, numbers.pop(), np.array(sizes), np.array(table.codes, np.uint64)
 
 
 def before(numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -195,8 +197,8 @@ def before(numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def frequent(texts: DataFrame) -> np.ndarray:
     """Hashes of the most frequent words, FREQUENT of them at most. A word that a task sees less than four times among 500,000 different ones is left out there, as a short code saves it little."""
 
+    @tidied
     def count(batches):
-        tidy()
         found: Counter[bytes] = Counter()
 
         def rows():
@@ -228,8 +230,8 @@ def discounts(n: list[int]) -> np.ndarray:
 def count_pairs(texts: DataFrame, ranks, shards: int) -> DataFrame:
     """Trusted pairs, a row a shard of first words: (shard, data: put_pairs(first, second, count in fold 0, in fold 1))."""
 
+    @tidied
     def send(batches):
-        tidy()
         for rows, numbers, sizes, codes in chunks(batches, ranks.value):
             fold = np.repeat(np.array([r[-1] for r in rows]), sizes)
             found = [*by_shard(before(numbers, sizes), numbers, fold, codes, 2, shards)] if len(numbers) else []
@@ -242,8 +244,8 @@ def count_pairs(texts: DataFrame, ranks, shards: int) -> DataFrame:
         new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
         return a[new], b[new], np.add.reduceat(c, new, axis=0)
 
+    @tidied
     def take(batches):
-        tidy()
         shard, parts, held = None, [], 0
         for pdf in batches:
             for s, data in zip(pdf["shard"], pdf["data"]):
@@ -274,9 +276,9 @@ def totals(pairs: DataFrame, shards: int) -> list[dict] | None:
     def counts(x):
         return np.bincount(np.minimum(x, 5).astype(np.int64), minlength=6)[1:]
 
+    @tidied
     def split(batches):
         # of each shard of first words: counts of counts, and how many first words each word follows, by its own shard
-        tidy()
         for pdf in batches:
             for data in pdf["data"]:
                 _, b, c0, c1 = get_pairs(data)
@@ -295,8 +297,8 @@ def totals(pairs: DataFrame, shards: int) -> list[dict] | None:
         b, at = np.unique(b, return_inverse=True)
         return [b, *(np.bincount(at, k, len(b)).astype(np.int64) for k in follows)]
 
+    @tidied
     def add(batches):
-        tidy()
         shard, parts = None, []
 
         def row():
@@ -337,8 +339,8 @@ def totals(pairs: DataFrame, shards: int) -> list[dict] | None:
 def model_rows(pairs: DataFrame, models: list[dict], shards: int) -> DataFrame:
     """The model as packed rows: kind 0, the back-off weights of a shard's histories; kind 1, pairs and what they have over the back-off, in the shards of their second words."""
 
+    @tidied
     def send(batches):
-        tidy()
         for pdf in batches:
             for shard, data in zip(pdf["shard"], pdf["data"]):
                 a, b, *c = get_pairs(data)
@@ -366,10 +368,10 @@ def model_rows(pairs: DataFrame, models: list[dict], shards: int) -> DataFrame:
 def questions(rows: DataFrame, ranks, shards: int) -> DataFrame:
     """doc_id, lang, text as packed rows: kind 2, pairs of a chunk's documents by the shard of the second word; kind 3, the documents themselves."""
 
+    @tidied
     def send(batches):
         from pyspark import TaskContext
 
-        tidy()
         chunk = TaskContext.get().partitionId() << 32
         for found, numbers, sizes, codes in chunks(batches, ranks.value):
             chunk += 1
@@ -391,8 +393,9 @@ def questions(rows: DataFrame, ranks, shards: int) -> DataFrame:
                 a = np.concatenate([numbers, last, np.full(len(some), EDGE, np.int32)])
                 b = np.concatenate([before(numbers, sizes), np.full(len(some), TAIL, np.int32), np.full(len(some), HEAD, np.int32)])
                 unit = np.concatenate([np.repeat(place, sizes), place[some], place[some]])
-                del numbers
-                out += [(s, 2, chunk, len(found), split, data) for s, data in by_shard(a, b, unit, codes, len(found), shards)]
+                tokens = [(a, b, unit)]
+                del numbers, a, b, unit  # by_shard alone has them
+                out += [(s, 2, chunk, len(found), split, data) for s, data in by_shard(*tokens.pop(), codes, len(found), shards)]
             yield pd.DataFrame(out, columns=["shard", "kind", "chunk", "units", "split", "data"])
 
     # ids travel as strings: pandas has no whole numbers with nulls
@@ -441,8 +444,8 @@ class Shard:
 def answers(packed: DataFrame, models: list[dict], shards: int) -> DataFrame:
     """doc_id, lang, perplexity from packed rows of a model and of questions."""
 
+    @tidied
     def ask(batches):
-        tidy()
         shard, histories, pairs, model = None, [], [], None
         for pdf in batches:
             out = []
@@ -464,8 +467,8 @@ def answers(packed: DataFrame, models: list[dict], shards: int) -> DataFrame:
                     out.append((int(chunk), s, squeeze(np.array([total.min()], np.float64), total - total.min())))
             yield pd.DataFrame(out, columns=["chunk", "shard", "data"])
 
+    @tidied
     def add(batches):
-        tidy()
         docs, total = None, None
 
         def rows():

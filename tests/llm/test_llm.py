@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lacuna.llm import chat, decontaminate, language, media, ngram_join, packing, pii, quality, repeats, suffix, toxicity
+from lacuna.llm import chat, common, decontaminate, language, media, ngram_join, packing, pii, quality, repeats, suffix, toxicity
 from lacuna.llm.common import words_of
 from lacuna.llm.graph import components
 from lacuna.llm.queries import vocabulary_path
@@ -434,6 +434,27 @@ def test_ngram_join_edges(docs, none):
     assert ngram_join.classify(none).count() == 0
 
 
+def test_batches_of_large_rows(spark):
+    import pandas as pd
+
+    common.small_batches(spark)
+
+    def sizes(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"n": [int(pdf["data"].map(len).sum())]})
+
+    rows = spark.range(40, numPartitions=1).select(F.expr("cast(repeat('x', 1000000) as binary)").alias("data"))
+    found = [r["n"] for r in rows.mapInPandas(sizes, "n long").collect()]
+    assert sum(found) == 40_000_000 and max(found) <= (8 << 20) + 1_000_000
+
+
+def test_tidied(monkeypatch):
+    seen = []
+    monkeypatch.setattr(common, "tidy", lambda name=None: seen.append("tidy"))
+    task = common.tidied(lambda batches: (seen.append(x) or x for x in batches))
+    assert [*task([1, 2])] == [1, 2] and seen == ["tidy", 1, 2, "tidy"]
+
+
 def test_written_tables_go(spark):
     import os
 
