@@ -77,6 +77,31 @@ def test_suffix_array():
         assert suffix.suffix_array(d).tolist() == sorted(range(len(d)), key=lambda i: d[i:])
 
 
+def test_suffix_array_by_depth():
+    random.seed(2)
+    texts = [bytes(random.randrange(97, 97 + k) for _ in range(n)) for k, n in ((1, 40), (2, 300), (5, 700))]
+    for d in [*texts, texts[2] * 3, b"\xff".join(texts[1][:k] for k in range(50, 300, 20))]:
+        for depth in (1, 5, 40):
+            got = suffix.suffix_array(d, depth).tolist()
+            assert sorted(got) == list(range(len(d)))
+            assert [d[i : i + depth] for i in got] == sorted(d[i : i + depth] for i in range(len(d)))
+            kinds = suffix.repeat_classes(d, depth).tolist()
+            whole = range(len(d) - depth + 1)
+            assert len({*zip(kinds, (d[i : i + depth] for i in whole))}) == len({d[i : i + depth] for i in whole}) == len({kinds[i] for i in whole})
+
+
+def test_contexts_that_share_the_same_are_sorted_once():
+    random.seed(3)
+    text = bytes(random.randrange(97, 123) for _ in range(700))
+    near = [text[:20] + b"1" + text[21:600] + c + text[601:] for c in (b"2", b"3")] + [text[:600] + b"4" + text[601:]]
+    # the first two differ from each other at 600, from the third one at 20 too; no byte more is left of any
+    cut = repeats.trimmed(near, [300] * 3, 400)
+    assert cut == [(300, near[0][:600])] * 2 + [(279, text[21:600])]
+    first, _, third = repeats.repeated_windows([(1, cut[0][1], 300, 2), (1, near[1][:610], 300, 1), (1, cut[2][1], 279, 1)], 400)
+    assert first.tolist() == list(range(201)) and third.tolist() == list(range(180))
+    assert [len(x) for x in repeats.repeated_windows([(1, cut[0][1], 300, 1), (2, cut[0][1], 300, 1)], 400)] == [0, 0]
+
+
 @pytest.mark.parametrize("quantum", [1, 128])
 def test_packing(docs, rows, quantum, none):
     from tokenizers import Tokenizer
