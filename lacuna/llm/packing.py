@@ -15,6 +15,7 @@ source columns are ignored. Every source has a queue of its own; work grows with
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import re
@@ -37,6 +38,28 @@ SPACE = "\t\n\x0b\x0c\r \x85\xa0"
 LATIN_SPLIT = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{SPACE}{LETTER}{NUMBER}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
+#: Kinds of Latin-1 characters: letters, numbers, white space, others. END stands for what follows a text.
+KINDS = np.array([next((k for k, chars in enumerate((LETTER, NUMBER, SPACE)) if re.match(f"[{chars}]", chr(c))), 3) for c in range(256)], np.uint8)
+BLANK, END = 2, 4
+
+
+def word_starts(chars: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Where the words of LATIN_SPLIT begin, and the ends of texts, in texts of Latin-1 bytes with a line feed of kind END after each."""
+    new = np.ones(len(chars), bool)
+    new[1:] = kind[1:] != kind[:-1]
+    # the last of a run of white space goes with what follows if it is a space, else it is a word
+    last = np.flatnonzero((kind[:-1] == BLANK) & (kind[1:] != BLANK) & (kind[1:] != END))
+    new[last] = True
+    new[last[chars[last] == ord(" ")] + 1] = False
+    # 's, 't, 'm, 'd, 're, 've and 'll are words where one begins with them; letters that follow are another
+    quote = np.flatnonzero((chars == ord("'")) & new)
+    a, b = chars[quote + 1], chars[np.minimum(quote + 2, len(chars) - 1)]
+    three = ((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
+    size = np.where(np.isin(a, np.frombuffer(b"stmd", np.uint8)), 2, np.where(three, 3, 0))
+    quote, size = quote[size > 0], size[size > 0]
+    new[quote + 1] = False
+    new[quote + size] = True
+    return np.flatnonzero(new)
 
 
 def taken(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +74,7 @@ class Encoder:
     """Token ids of the tokenizer file as little-endian unsigned 16-bit bytes.
 
     The merges never cross a pre-split, so that a text's ids are those of its pieces; pieces are
-    encoded once, many in one call, and kept. Texts with characters beyond Latin-1 or a special token's string go to the
+    encoded once and kept. Texts with characters beyond Latin-1 or a special token's string go to the
     tokenizer whole."""
 
     def __init__(self, path: str, keep: int = 350_000):
@@ -65,12 +88,10 @@ class Encoder:
         #: Whether LATIN_SPLIT is what this file's pre-split does; else all texts go to the tokenizer whole.
         self.known_split = self.tokenizer.normalizer is None and {k: v for k, v in split.items() if k != "trim_offsets"} == {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        #: Words with their numbers; the ids of all of them, one after the other; how many ids each has.
+        #: Words as Latin-1 bytes with their numbers; the ids of all of them, one after the other; how many ids each has.
         self.keep, self.known, self.before = keep, self.none(), self.none()
-        #: Bytes of each token of a byte-level vocabulary, which has one character for each.
-        self.size = np.zeros(65536, np.int64)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.size[i] = len(token)
+        #: What stands for the bytes of a Latin-1 character in a byte-level vocabulary.
+        self.letters = {c: "".join(x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))) for c in range(256)} if self.known_split else {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = [array("H", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -80,59 +101,54 @@ class Encoder:
         return [x.tobytes() for x in found]
 
     @staticmethod
-    def none() -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+    def none() -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
         return {}, np.zeros(0, "<u2"), np.zeros(0, np.int64)
 
-    def pieces(self, words: list[str], many: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words of LATIN_SPLIT, one after the other, and how many each has. Where the split of a run of words gives them again, the run is encoded as one text."""
-        found, sizes = [], []
-        for k in range(0, len(words), many):
-            part = words[k : k + many]
-            text = "".join(part)
-            if LATIN_SPLIT.findall(text) == part and not any(s in text for s in self.special):
-                ids = np.frombuffer(self.whole([text])[0], "<u2")
-                ends, want = np.cumsum(self.size[ids]), np.cumsum(pc.binary_length(pa.array(part, pa.large_string())).to_numpy())
-                cut = np.searchsorted(ends, want)
-                if cut[-1] == len(ids) - 1 and (ends[cut] == want).all():
-                    found.append(ids)
-                    sizes.append(np.diff(cut, prepend=-1))
-                    continue
-            each = self.whole(part)
-            found.append(np.frombuffer(b"".join(each), "<u2"))
-            sizes.append(np.fromiter(map(len, each), np.int64, len(each)) // 2)
-        return np.concatenate(found), np.concatenate(sizes)
+    def pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of LATIN_SPLIT, one after the other, and how many each has: the file's merges alone, as nothing is left to split."""
+        merge = self.tokenizer.model.tokenize
+        found = [[t.id for t in merge(w.translate(self.letters))] for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), "<u2", sizes.sum()), sizes
 
     def batch(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        step: list[tuple[int, list[str]]] = []
+        step: list[tuple[int, bytes]] = []
         size = 0
         for i, t in enumerate(texts):
             try:
-                t.encode("latin-1")
+                data = t.encode("latin-1")
                 plain = self.known_split and not any(s in t for s in self.special)
             except UnicodeEncodeError:
                 plain = False
             if not plain:
                 out[i] = self.whole([t])[0]
                 continue
-            step.append((i, LATIN_SPLIT.findall(t)))
+            step.append((i, data))
             size += len(t)
-            if size > 2_000_000:
+            if size > 4_000_000:
                 self._join(step, out)
                 step, size = [], 0
         self._join(step, out)
         return out
 
-    def _add(self, words: list[str], ids: np.ndarray, n: np.ndarray) -> None:
+    def _add(self, words: list[bytes], ids: np.ndarray, n: np.ndarray) -> None:
         known, flat, size = self.known
         known.update(zip(words, range(len(known), len(known) + len(words))))
         self.known = known, np.concatenate([flat, ids]), np.concatenate([size, n])
 
     def _join(self, step, out) -> None:
-        words = pa.array([w for _, ws in step for w in ws], pa.large_string()).dictionary_encode()
-        if not len(words):
+        if not step:
             return
-        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        data = b"\n".join([*(x for _, x in step), b""])
+        chars = np.frombuffer(data, np.uint8)
+        ends = np.cumsum([len(x) + 1 for _, x in step])
+        kind = KINDS[chars]
+        kind[ends - 1] = END
+        begin = word_starts(chars, kind)
+        words = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(np.append(begin, len(chars))), pa.py_buffer(data)]).dictionary_encode()
+        inside = np.flatnonzero(kind[begin] != END)
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist() takes nine times as long
         if len(self.known[0]) > self.keep:  # two generations: what is still in use moves on
             self.known, self.before = self.none(), self.known
         known, before = self.known[0], self.before[0]
@@ -141,18 +157,14 @@ class Encoder:
         if moved:
             self._add(moved, *taken(*self.before[1:], np.fromiter(map(before.__getitem__, moved), np.int64, len(moved))))
             new = [w for w in new if w not in before]
-        # words that begin with a space end where the next one begins
-        for part in ([w for w in new if w[0] == " "], [w for w in new if w[0] != " "]):
-            if part:
-                self._add(part, *self.pieces(part))
-        ids, n = taken(*self.known[1:], np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()])
-        raw, ends = ids.tobytes(), np.cumsum(n)
-        ends = np.concatenate([[0], ends * 2])
-        a = b = 0
-        for i, ws in step:
-            b += len(ws)
-            out[i] = raw[ends[a] : ends[b]]
-            a = b
+        if new:
+            self._add(new, *self.pieces([w.decode("latin-1") for w in new]))
+        number = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        ids, n = taken(*self.known[1:], number[words.indices.to_numpy()[inside]])
+        raw, at = ids.tobytes(), 0
+        for (i, _), to in zip(step, np.append(0, np.cumsum(n) * 2)[np.searchsorted(begin[inside], ends)].tolist()):
+            out[i] = raw[at:to]
+            at = to
 
 
 @functools.cache

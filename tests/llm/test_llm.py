@@ -329,6 +329,21 @@ def test_packing_of_other_vocabularies(tmp_path):
     assert [np.frombuffer(x, "<u2").tolist() for x in e.batch(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_packing_splits_whole_batches():
+    rng, e = random.Random(7), packing.Encoder(vocabulary_path())
+    some = [*map(chr, range(256)), *["'", " ", "s", "e", "l", "r", "\n", "1", "."] * 20, "'ll", "'re", "''s", "\n's", " 's"]
+    for _ in range(300):
+        texts = ["".join(rng.choices(some, k=rng.randint(0, 40))) for _ in range(4)]
+        parts = [t.encode("latin-1") for t in texts]
+        data = b"\n".join([*parts, b""])
+        kind = packing.KINDS[np.frombuffer(data, np.uint8)]
+        kind[np.cumsum([len(x) + 1 for x in parts]) - 1] = packing.END
+        begin = packing.word_starts(np.frombuffer(data, np.uint8), kind)
+        words = [data[a:b].decode("latin-1") for a, b in zip(begin, [*begin[1:], len(data)]) if kind[a] != packing.END]
+        assert words == [w for t in texts for w in packing.LATIN_SPLIT.findall(t)]
+        assert e.batch(texts) == e.whole(texts)
+
+
 def test_packing_encodes_runs_of_words(monkeypatch):
     rng, e = random.Random(5), packing.Encoder(vocabulary_path(), keep=300)
     texts = ["".join(rng.choice(["", " ", "  ", "\n"]) + "".join(rng.choices("aeinrst\xe9\xdf", k=rng.randint(1, 9))) + rng.choice(["", ".", "'s", "12", " '"]) for _ in range(200)) for _ in range(20)] + ["", " ", "<|endoftext|>", "\u65e5\u672c"]
