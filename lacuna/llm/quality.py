@@ -48,14 +48,27 @@ CHUNK_WORDS, CHUNK_DOCS = 5_000_000, 65_536
 PACKED = "shard int, kind int, chunk long, units int, split int, data binary"
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Bytes of equal weight together."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
 def squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays as compressed bytes; whole numbers in as few bytes as the largest needs, bytes of equal weight together."""
+    """Arrays as compressed bytes; whole numbers in as few bytes as the largest needs. Where that is more than two, those of up to two bytes are apart, and a bit each says which they are. Other numbers stay as they are: they repeat as a whole."""
     head, body = [], []
     for x in arrays:
-        if x.dtype.kind != "f":
-            x = x.astype(np.min_scalar_type(int(x.max())) if len(x) else np.uint8)
-        head.append((x.dtype.str, len(x)))
-        body.append(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes())
+        if x.dtype.kind == "f":
+            head.append((x.dtype.str, len(x), None))
+            body.append(x.tobytes())
+            continue
+        x = x.astype(np.min_scalar_type(int(x.max())) if len(x) else np.uint8)
+        if x.itemsize > 2:
+            wide = x > 0xFFFF
+            head.append((x.dtype.str, len(x), int(wide.sum())))
+            body += [np.packbits(wide).tobytes(), planes(x[~wide].astype(np.uint16)), planes(x[wide])]
+        else:
+            head.append((x.dtype.str, len(x), None))
+            body.append(planes(x))
     raw = b"".join(body)
     return pickle.dumps((head, len(raw), CODEC.compress(raw, asbytes=True)))
 
@@ -63,12 +76,23 @@ def squeeze(*arrays: np.ndarray) -> bytes:
 def unsqueeze(data: bytes) -> list[np.ndarray]:
     head, size, packed = pickle.loads(data)
     raw, at, out = np.frombuffer(CODEC.decompress(packed, size, asbytes=True), np.uint8), 0, []
-    for kind, n in head:
+
+    def take(dtype, n):
+        nonlocal at
+        part = raw[at : at + n * dtype.itemsize]
+        at += len(part)
+        return part.copy().view(dtype) if dtype.kind == "f" else np.ascontiguousarray(part.reshape(dtype.itemsize, n).T).reshape(-1).view(dtype)
+
+    for kind, n, n_wide in head:
         dtype = np.dtype(kind)
-        planes = raw[at : at + n * dtype.itemsize].reshape(dtype.itemsize, n)
-        x = np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+        if n_wide is None:
+            x = take(dtype, n)
+        else:
+            wide = np.unpackbits(take(np.dtype(np.uint8), -(-n // 8)), count=n).astype(bool)
+            x = np.empty(n, dtype)
+            x[~wide] = take(np.dtype(np.uint16), n - n_wide)
+            x[wide] = take(dtype, n_wide)
         out.append(x if dtype.kind == "f" else x.astype(np.uint64))
-        at += n * dtype.itemsize
     return out
 
 
@@ -134,14 +158,20 @@ def by_shard(a: np.ndarray, b: np.ndarray, unit: np.ndarray, codes: np.ndarray,
     cut = starts(at[first])
     for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(new)]):
         e = slice(new[lo], new[hi] if hi < len(new) else len(pair))
-        yield int(at[first[lo]]), put_pairs(codes[first[lo:hi]], second[lo:hi], per[lo:hi], steps(unit[e], new[lo:hi] - new[lo]), n[e])
+        begin = new[lo:hi] - new[lo]
+        step = steps(unit[e], begin)  # a pair's first unit is large, its others are near each other
+        yield int(at[first[lo]]), put_pairs(codes[first[lo:hi]], second[lo:hi], per[lo:hi], step[begin], np.delete(step, begin), n[e])
 
 
 def entries(data: bytes) -> tuple[np.ndarray, ...]:
     """What by_shard packed: codes of pairs, the pair of each entry, its unit and count."""
-    a, b, per, step, n = get_pairs(data)
+    a, b, per, first, more, n = get_pairs(data)
     per = per.astype(np.int64)
-    return a, b, np.repeat(np.arange(len(a)), per), unstepped(step, np.cumsum(per) - per).astype(np.int64), n.astype(np.int64)
+    begin = np.cumsum(per) - per
+    step, rest = np.empty(len(n), np.uint64), np.ones(len(n), bool)
+    step[begin], rest[begin] = first, False
+    step[rest] = more
+    return a, b, np.repeat(np.arange(len(a)), per), unstepped(step, begin).astype(np.int64), n.astype(np.int64)
 
 
 def hashed(word: bytes) -> int:
@@ -375,7 +405,8 @@ def questions(rows: DataFrame, ranks, shards: int) -> DataFrame:
         chunk = TaskContext.get().partitionId() << 32
         for found, numbers, sizes, codes in chunks(batches, ranks.value):
             chunk += 1
-            order = sorted(range(len(found)), key=lambda i: found[i][-1])  # documents of fold 0 first
+            # documents of fold 0 first; of a fold, those of a language and of a length, which share more pairs: steps between them are shorter
+            order = sorted(range(len(found)), key=lambda i: (found[i][-1], str(found[i][1]), sizes[i]))
             place = np.empty(len(found), np.int32)
             place[order] = np.arange(len(found))
             split = sum(r[-1] == 0 for r in found)

@@ -233,6 +233,26 @@ def test_quality_brute_force(spark, folds, monkeypatch):
     assert all(r.kept == (r.perplexity is not None and r.perplexity <= limit * (1 + 1e-6)) for r in rows)
 
 
+def test_quality_rows_are_short():
+    rng = np.random.default_rng(4)
+    arrays = [np.sort(rng.choice([5, 1 << 16, (1 << 16) - 1, 1 << 45], 1000)), np.zeros(0, np.uint64), rng.integers(0, 9, 13), rng.random(7).astype(np.float32), np.array([1 << 40])]
+    assert all(a.tolist() == b.tolist() for a, b in zip(arrays, quality.unsqueeze(quality.squeeze(*arrays)), strict=True))
+    # of 20,000 numbers half are of two bytes and half of six, and a bit each says which
+    codes = np.where(rng.random(20_000) < 0.5, rng.integers(0, 1 << 16, 20_000), rng.integers(1 << 44, 1 << 45, 20_000))
+    assert len(quality.squeeze(codes)) < 10_000 * (2 + 6) + 20_000 // 8 + 500
+    # weights repeat
+    assert len(quality.squeeze(np.repeat(rng.random(1000).astype(np.float32), 3))) < 1000 * 4 + 1000
+    size = 500
+    a, b, unit = rng.integers(0, size, 30_000), rng.integers(0, size, 30_000), rng.integers(0, 90, 30_000)
+    codes = np.unique(rng.integers(1, 1 << 45, 2 * size).astype(np.uint64))[:size]
+    got = Counter()
+    for shard, data in quality.by_shard(a, b, unit, codes, 90, 7):
+        x, y, pair, u, n = quality.entries(data)
+        assert (quality.shards_of(x, 7) == shard).all()
+        got.update(dict(zip(zip(x[pair].tolist(), y[pair].tolist(), u.tolist()), n.tolist())))
+    assert got == Counter(zip(codes[a].tolist(), codes[b].tolist(), unit.tolist()))
+
+
 def test_quality_chunks(monkeypatch):
     """Pairs come back from their packed form, and chunks hold every word once whatever their size."""
     import pandas as pd
