@@ -473,7 +473,7 @@ race AS (SELECT o_orderkey, p_partkey, {COST} AS cost, ln(-ln({U.format("'3'" +
 @query(f"WITH {PICK} SELECT o_orderkey, picked, round(cost, 6) AS cost FROM best UNION ALL SELECT o_orderkey, arg_min(p_partkey, k), round(arg_min(cost, k), 6) FROM race GROUP BY o_orderkey")
 def weighted_pick(spark, d):
     axes = [select.Axis(F.col("rank"), F.col("target"), 1 / select.INTENSITY_TOLERANCE, 0.0, 1 / 16, 16), select.Axis(F.log2(F.col("p_size").cast("double")), F.log2(F.col("tempo").cast("double")), 1.0, 0.0, 0.5, 12)]
-    return select.weighted_pick(need_rows(spark, d), clip_rows(spark, d), "p_type", "o_orderkey", "p_partkey", clip_cost(), "3", axes).withColumn("cost", F.round("cost", 6))
+    return select.weighted_pick(need_rows(spark, d), clip_rows(spark, d), "p_type", "o_orderkey", "p_partkey", clip_cost(), "3", axes, exact=True).withColumn("cost", F.round("cost", 6))
 
 
 @query(f"WITH u AS (SELECT p_partkey, p_type, row_number() OVER (PARTITION BY p_type ORDER BY {U.format("'5'" + NUL + "p_type" + NUL + "CAST(p_partkey AS VARCHAR)")}, p_partkey) AS draw FROM part) SELECT p_partkey, p_type, draw FROM u WHERE draw <= 48")

@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,23 @@ def test_pick_follows_weights(spark, attempts):
     assert {(r.row, r.picked) for r in again.collect()} == {(r.row, r.picked) for r in got}
 
 
+def test_pick_makes_few_attempts(spark):
+    """With exact, attempts behind a sure one aren't made, with the same picks and costs; no row carries the cells. Nulls on an axis and string ids too."""
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(k, f"{k}{i:03d}", float(v) if i else None, float(w)) for k in "xy" for i, (v, w) in enumerate(zip(rng.uniform(0, 1, 200), rng.uniform(0, 40, 200)))], "kind string, clip string, a double, b double")
+    rows = spark.range(800).select(F.concat(F.lit("r"), "id").alias("row"), F.element_at(F.array(F.lit("x"), F.lit("y"), F.lit("z"), F.lit(None)), (F.col("id") % 4 + 1).cast("int")).alias("kind"), F.when(F.col("id") % 5 > 0, F.col("id") / 800).alias("t"))
+    cost = F.coalesce(F.abs(F.col("a") - F.col("t")) / 0.35, F.lit(0.0)) + F.abs(F.col("b") - 20) / 12
+    axes = [select.Axis(F.col("a"), F.col("t"), 1 / 0.35, 0.0, 1 / 16, 16), select.Axis(F.col("b"), F.lit(20.0), 1 / 12, 0.0, 4.0, 10)]
+    picks = [select.weighted_pick(rows, df, "kind", "row", "clip", cost, "s", axes, exact=e) for e in (False, True)]
+    got = [sorted((r.row, r.picked, round(r.cost, 9)) for r in p.collect()) for p in picks]
+    assert got[0] == got[1] and len(got[0]) == 400
+    plan = picks[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "lambda" not in plan
+    cells = {"n": np.full(4, 50), "__c0": np.arange(4), "lo0": np.array([-np.inf, 0.25, 0.5, 0.75]), "hi0": np.array([0.25, 0.5, 0.75, np.inf]), "min0": np.arange(4) / 4, "max0": np.arange(4) / 4 + 0.2}
+    made = select.Draws(["row"], "kind", [1 / 0.35], "s", 8, True, ["row", "a", "c", "pos", "bound", "u"]).drawn(pa.RecordBatch.from_pydict({"row": [*range(1000)], "__id": [str(i) for i in range(1000)], "__t0": [i / 1000 for i in range(1000)]}), cells)
+    assert {*made.column("row").to_pylist()} == {*range(1000)} and made.num_rows < 2500
+
+
 def test_ranks_of_large_groups(spark):
     """Ranges give the ranks of a plain sort: ties, nulls, lone rows and a group that holds most rows."""
     rng = np.random.default_rng(7)
