@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from itertools import islice
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 TAG = r"\[([^\[\]]+)\]"
@@ -71,7 +74,7 @@ SPAN = StructType([StructField("text", StringType()), StructField("start", Integ
 @F.arrow_udf(ArrayType(SPAN))
 def token_spans(texts: pa.Array) -> pa.Array:
     """array of struct(text, start, end), in characters from 0; linear in the text, which appending to an array isn't. Arrow
-    arrays are made as a whole, without an object for each token."""
+    arrays are made as a whole, and a worker holds the tokens of a batch of texts: tables take token_rows."""
     found = re.compile(f"[^{SPACE}]+").finditer
     words, starts, ends, offsets, nulls = [], [], [], [0], []
     for t in texts.to_pylist():
@@ -87,6 +90,43 @@ def token_spans(texts: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans, mask=pa.array(nulls, pa.bool_()))
 
 
+def token_rows(rows: DataFrame, text: str, most: int = 1 << 16) -> DataFrame:
+    """A row for each token of the text: the other columns, its number p, and token, start and stop as in token_spans. A worker
+    holds a batch of texts and `most` tokens, however long the texts and however many a batch has."""
+    kept = [f for f in rows.schema.fields if f.name != text]
+    schema = StructType([*kept, *[StructField(n, StringType() if n == "token" else IntegerType()) for n in ("p", "token", "start", "stop")]])
+    names, space = schema.names, SPACE
+
+    def run(batches):
+        found = re.compile(f"[^{space}]+").finditer
+
+        def made(rest, at, first, counts, words, starts):
+            ps = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts - first, counts) if counts else []
+            words, starts = pa.array(words, pa.string()), pa.array(starts, pa.int32())
+            own = [pa.array(ps, pa.int32()), words, starts, pc.add(starts, pc.utf8_length(words))]
+            return pa.RecordBatch.from_arrays([*rest.take(pa.array(np.repeat(at, counts), pa.int64())).columns, *own], names=names)
+
+        for batch in batches:
+            texts, rest = batch.column(text), batch.select(names[:-4])
+            at, first, counts, words, starts = [], [], [], [], []
+            for i in range(len(texts)):
+                tokens, p = found(texts[i].as_py() or ""), 0
+                while some := [*islice(tokens, most - len(words))]:
+                    at.append(i)
+                    first.append(p)
+                    counts.append(len(some))
+                    words += [m[0] for m in some]
+                    starts += [m.start() for m in some]
+                    p += len(some)
+                    if len(words) == most:
+                        yield made(rest, at, first, counts, words, starts)
+                        at, first, counts, words, starts = [], [], [], [], []
+            if words:
+                yield made(rest, at, first, counts, words, starts)
+
+    return rows.mapInArrow(run, schema)
+
+
 def aligner_token(word: Column) -> Column:
     """Letters, numbers and apostrophes only, lower-cased."""
     return F.lower(F.regexp_replace(word, r"[^\p{L}\p{N}']", ""))

@@ -327,8 +327,7 @@ def tokens(spark, d):
 e AS (SELECT doc_id, i, regexp_replace(s, '^\s+', '') AS token, sum(len(s)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM p)
 SELECT doc_id, token, CAST(stop - len(token) AS INT) AS start, CAST(stop AS INT) AS stop FROM e""")
 def token_spans(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", F.explode(T.token_spans(F.col("text"))).alias("t"))
-    return rows.select("doc_id", F.col("t.text").alias("token"), F.col("t.start").alias("start"), F.col("t.end").alias("stop"))
+    return T.token_rows(table(spark, d, "documents").select("doc_id", "text"), "text").drop("p")
 
 
 TAGGED = "tagged AS (SELECT conv_id, turn, text, text[1:5] || '[' || (CASE turn % 3 WHEN 0 THEN 'sigh' WHEN 1 THEN 'Cough' ELSE 'other' END) || '] ' || text[6:] AS tagged FROM conversations)"

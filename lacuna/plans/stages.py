@@ -28,7 +28,7 @@ def slots(rows: DataFrame, islands: DataFrame, words: DataFrame, cfg: Settings =
     """(id, candidates) of rows (id, text), speech islands (id, lo, hi) and word times (id, w, word, start, stop): the pauses that
     lie between words, each with where it falls in the text. Rows that were measured and offer none have an empty array."""
     pauses = series.pauses(series.merge_close(islands, "id", cfg.merge_gap_s), "id", cfg.margin_s, cfg.min_pause_s)
-    spans = rows.select("id", F.posexplode(T.token_spans(F.col("text"))).alias("p", "t")).select("id", "p", F.col("t.text").alias("token"), F.col("t.start").alias("start"))
+    spans = T.token_rows(rows.select("id", "text"), "text").drop("stop")
     clean = spans.withColumn("clean", T.aligner_token(F.col("token")))
     spoken = words.select("id", "w", T.aligner_token(F.col("word")).alias("clean"), "start", "stop")
     mapped = match.token_map(spoken, clean.select("id", "p", "clean"), "id").where("ok")

@@ -362,6 +362,17 @@ def test_whole_texts(spark, tmp_path):
     assert got == {i: t if t is None else strip(t) for i, t in enumerate(texts)}
 
 
+def test_tokens_in_pieces(spark):
+    """Tokens come in pieces of bounded size, also within a text; the same as in whole arrays."""
+    texts = [("a", "x yy  zzz " * 50, 1), ("b", None, 2), ("c", " ", 3), (None, "đường\u3000ĐỖ", 4), ("a", "w" * 99, 5)]
+    rows = spark.createDataFrame(texts, "id string, text string, n int").coalesce(1)
+    want = rows.select("id", "n", F.posexplode(T.token_spans(F.col("text"))).alias("p", "t")).select("id", "n", "p", "t.text", "t.start", "t.end").collect()
+    for most in (1, 7, 1 << 16):
+        assert [tuple(r) for r in T.token_rows(rows, "text", most).collect()] == [tuple(r) for r in want]
+    plan = entry.queries()["token_spans"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+
+
 def test_whole_tables(spark):
     """All orders, users and labels."""
     run = lambda name: entry.queries()[name](spark, SF)
